@@ -23,6 +23,8 @@ LINK = re.compile(r"\]\([^)\n]*\)")
 DATE = re.compile(r"\d{1,2}\s+(?:%s)\s+\d{2,4}|(?:%s)\s+\d{1,2},?\s+\d{4}|(?:%s)\s+\d{4}" % (("|".join(MONTHS),) * 3))
 NUMBER = re.compile(r"\d+(?:[.,/:\-]\d+)*")
 NAME = re.compile(r"(?<!\w)(%s)(:?\s)\s*[^\s,|]+(?:\s+[^\s,|]+){0,3}(?=\s*(?:[,|]|$))" % BY)
+BYLINE = re.compile(BY)
+DIGIT = re.compile(r"\d")
 LETTERS3 = re.compile(r"(?:[^\W\d_][\W\d_]*?){3}")
 HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)")
 INVISIBLE = dict.fromkeys([0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])
@@ -69,11 +71,11 @@ def line_key(line: str, titles: list[str]) -> str:
     for t in titles:
         if t in s:
             s = s.replace(t, "\x01")
-    n = NUMBER.sub("", DATE.sub("", s))
-    if n != s:
-        n = " ".join(n.split())
-    n = NAME.sub(r"\1", n)
-    return n.strip(MARKS) if LETTERS3.search(n) else ""
+    if DIGIT.search(s):
+        s = " ".join(NUMBER.sub("", DATE.sub("", s)).split())
+    if len(s) < 200 and BYLINE.search(s):
+        s = NAME.sub(r"\1", s)
+    return s.strip(MARKS) if LETTERS3.search(s) else ""
 
 
 def hash64(text: str) -> int:

@@ -18,7 +18,7 @@ from shapla.session import broadcast_if, materialize
 
 MIN_URLS = 8
 SUMMARY_CELLS = 1 << 16
-KEYED = "tbl string, url string, source long, nos array<int>, keys array<long>"
+KEYED = "tbl string, url string, tid long, source long, nos array<int>, keys array<long>"
 
 
 def page_keys(tbl: str, host: str, title: str | None, text: str) -> tuple[list[int], list[int]]:
@@ -35,21 +35,21 @@ def page_keys(tbl: str, host: str, title: str | None, text: str) -> tuple[list[i
 
 
 def keyed(pages: DataFrame) -> DataFrame:
-    """(tbl, url, source, nos, keys): for each page its lines' numbers and keys."""
-    schema = pa.schema([("tbl", pa.string()), ("url", pa.string()), ("source", pa.int64()), ("nos", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))])
+    """(tbl, url, tid, source, nos, keys): for each page its lines' numbers and keys; tid stands for the text."""
+    schema = pa.schema([("tbl", pa.string()), ("url", pa.string()), ("tid", pa.int64()), ("source", pa.int64()), ("nos", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))])
 
     def run(batches):
         def rows():
             for b in batches:
-                for tbl, url, title, text in rows_of(b, "tbl", "url", "title", "text"):
+                for tbl, url, title, text, tid in rows_of(b, "tbl", "url", "title", "text", "tid"):
                     host = host_of(url)
                     nos, keys = page_keys(tbl, host, title, text)
                     if nos:
-                        yield tbl, url, hash64(f"{tbl}\n{host}"), nos, keys
+                        yield tbl, url, tid, hash64(f"{tbl}\n{host}"), nos, keys
 
         yield from in_batches(rows(), schema)
 
-    return pages.select("tbl", "url", "title", "text").mapInArrow(run, KEYED)
+    return pages.select("tbl", "url", "title", "text", F.xxhash64("text").alias("tid")).mapInArrow(run, KEYED)
 
 
 def confirmed(keys: DataFrame, min_urls: int = MIN_URLS, cells: int = SUMMARY_CELLS) -> DataFrame:
@@ -61,6 +61,14 @@ def confirmed(keys: DataFrame, min_urls: int = MIN_URLS, cells: int = SUMMARY_CE
     return candidates.groupBy("key").agg(F.countDistinct("u").alias("urls")).where(F.col("urls") >= min_urls)
 
 
+def repeated_keys(pages: DataFrame, min_urls: int = MIN_URLS) -> DataFrame:
+    """(tbl, url, tid, line_no) of all repeated lines; may hold a row twice where `pages` does."""
+    keys = materialize(keyed(pages))
+    found = materialize(confirmed(keys, min_urls).select("key"))
+    lines = keys.select("tbl", "url", "tid", F.explode(F.arrays_zip("nos", "keys")).alias("l")).select("tbl", "url", "tid", F.col("l.nos").alias("line_no"), F.col("l.keys").alias("key"))
+    return lines.join(broadcast_if(found, found.count(), 24), "key", "left_semi").drop("key")
+
+
 def repeated_lines(pages: DataFrame, min_urls: int = MIN_URLS) -> DataFrame:
     """(tbl, url, line_no): lines that stand on at least `min_urls` different urls of the same host in the same table.
 
@@ -68,10 +76,7 @@ def repeated_lines(pages: DataFrame, min_urls: int = MIN_URLS) -> DataFrame:
     spacing and marks; lines left with fewer than three letters never count. Null urls and texts are ignored, repeated
     rows count once, and a host is taken without regard to the scheme. Empty input gives an empty result.
     """
-    keys = materialize(keyed(pages))
-    found = materialize(confirmed(keys, min_urls).select("key"))
-    lines = keys.select("tbl", "url", F.explode(F.arrays_zip("nos", "keys")).alias("l")).select("tbl", "url", F.col("l.nos").alias("line_no"), F.col("l.keys").alias("key"))
-    return lines.join(broadcast_if(found, found.count(), 24), "key", "left_semi").select("tbl", "url", "line_no").distinct()
+    return repeated_keys(pages, min_urls).select("tbl", "url", "line_no").distinct()
 
 
 def without_lines(pages: DataFrame, lines: DataFrame) -> DataFrame:
