@@ -82,7 +82,10 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[in
     while n - start > limit:
         end = table.query(start + least, start + limit + 1) % (n + 1)
         out.append((start, end))
-        start = table.query(end - overlap, end + 1 if overlap == 0 else end) % (n + 1) if overlap else end
+        start = end
+        if overlap:
+            v = table.query(end - overlap, max(end - overlap + 1, end - overlap // 3))
+            start = v % (n + 1) if v >= 2 * (n + 1) else end - overlap
     out.append((start, n))
     return out
 
