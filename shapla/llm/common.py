@@ -28,6 +28,7 @@ DIGIT = re.compile(r"\d")
 LETTERS3 = re.compile(r"(?:[^\W\d_][\W\d_]*?){3}")
 HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)")
 INVISIBLE = dict.fromkeys([0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])
+UNSEEN = re.compile("[%s]" % "".join(map(chr, INVISIBLE)))
 MARKS = "*_#>+-•|~` \t "
 TAIL = re.compile(r"[/>»:]\s*([^/>»:]+?)\s*$|[“\"]([^”\"]+)[”\"]")
 
@@ -37,9 +38,13 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
+def visible(text: str) -> str:
+    return text.translate(INVISIBLE) if UNSEEN.search(text) else text
+
+
 def plain(line: str) -> str:
     """A line without invisible characters, outer marks and repeated white space."""
-    return " ".join(line.translate(INVISIBLE).split()).strip(MARKS)
+    return " ".join(visible(line).split()).strip(MARKS)
 
 
 def titles_of(title: str | None, lines: list[str]) -> list[str]:

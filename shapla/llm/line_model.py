@@ -14,6 +14,8 @@ from shapla.llm.repeated_lines import MIN_URLS, page_keys
 #: At most about so many pages label the model; everything else runs over all pages.
 MIN_HOSTS = 3
 TRAIN_PAGES = 6000
+#: Lines longer than this are described by their shape alone.
+LONG = 400
 WORD = re.compile(r"[^\W\d_]+[^\s\d|»>/,:;.!?।()\[\]\"“”]*")
 END = re.compile(r"[.!?।۔॥](?=[\s*\"”’)]|$)")
 OWN = re.compile(r"\]\((https?://([^/)\s]*)[^)\s]*)\)")
@@ -26,7 +28,9 @@ def line_features(line: str, host: str, before_blank: bool, after_blank: bool, r
     s = s.strip("*").strip()
     kind = "#" if s.startswith("#") else "|" if s.startswith("|") else ">" if s.startswith(">") else "-" if s[:2] in ("- ", "+ ") or line.lstrip()[:2] == "* " else "p"
     feats = []
-    links = OWN.findall(s)
+    if len(s) > LONG:  # a paragraph; its shape says all
+        return ["\t%s5.2" % kind, "\tblank%d%d" % (before_blank, after_blank), "\ttop%d" % min(rank, 4), "\tleft%d" % min(left, 4)]
+    links = OWN.findall(s) if "](" in s else []
     if links:
         own = sum(h.lower().removeprefix("www.") == host.removeprefix("www.") for _, h in links)
         feats.append("\town%d" % min(own, 3) if own else "\tfile" if "/file/" in links[0][0] else "\tlink")
