@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from shapla.plans import p7
+from shapla.plans import crawl, p7, retrieve
 
-MODULES = [p7]
-FLAGSHIP = "p7_found"
+FLAGSHIP = "bm25_topk"
 
 
 def queries() -> dict:
-    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
+    return crawl.Q | retrieve.Q | p7.QUERIES
 
 
 def oracle_sql() -> dict:
-    return {k: v for m in MODULES for k, v in m.ORACLE.items()}
+    return crawl.O | retrieve.O | p7.ORACLE
