@@ -167,23 +167,24 @@ def shared_shards(keys: DataFrame) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("tid", pa.int64())])
 
     def run(batches):
-        held: tuple[np.ndarray, np.ndarray] | None = None
+        last = None  # (key, tid, whether its run is shared so far) of the last row, which isn't given out yet
         for b in batches:
             k, t = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if held is not None:
-                k, t = np.concatenate([held[0], k]), np.concatenate([held[1], t])
+            shared = np.zeros(len(k), bool)
+            if last is not None:
+                k, t, shared = np.concatenate([[last[0]], k]), np.concatenate([[last[1]], t]), np.concatenate([[last[2]], shared])
             if not len(k):
                 continue
+            own = np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])])  # copies of a text have equal rows
+            k, t, shared = k[own], t[own], shared[own]
             same = k[1:] == k[:-1]
-            keep = np.concatenate([same, [True]]) | np.concatenate([[False], same])
-            keep[-1] = bool(same[-1]) if len(same) else False
-            held = (k[-1:], t[-1:])
-            if len(same) and same[-1]:
-                held = (k[-2:], t[-2:])  # the last run goes on: its last two rows stand for it
-                keep[-2:] = False
-            yield pa.RecordBatch.from_arrays([pa.array(k[keep], pa.int64()), pa.array(t[keep], pa.int64())], schema=schema)
-        if held is not None and len(held[0]) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(held[0], pa.int64()), pa.array(held[1], pa.int64())], schema=schema)
+            shared[1:] |= same
+            shared[:-1] |= same
+            last = (k[-1], t[-1], bool(shared[-1]))
+            keep = shared[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(k[:-1][keep], pa.int64()), pa.array(t[:-1][keep], pa.int64())], schema=schema)
+        if last is not None and last[2]:
+            yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int64())], schema=schema)
 
     return keys.repartition("key").sortWithinPartitions("key", "tid").mapInArrow(run, "key long, tid long")
 
@@ -198,7 +199,7 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     common = values[often][np.argsort(times[often], kind="stable")]
     shards = materialize(shared_shards(shard_keys(docs, common, similarity)))
     members = shards.select("tid").distinct()
-    printed = docs.join(members, "tid", "left_semi")
+    printed = materialize(docs.join(members, "tid", "left_semi").dropDuplicates(["tid"]))
     schema = pa.schema([("tid", pa.int64()), ("tbl", pa.string()), ("m", pa.int32()), ("print", pa.binary())])
 
     def mark(batches):
@@ -261,7 +262,6 @@ def near_duplicates(records: DataFrame, similarity: float = SIMILARITY) -> DataF
     """
     tagged = records.select("tbl", "url", "text", F.xxhash64("tbl", "text").alias("tid"))
     docs = materialize(sketches(tagged))
-    docs = docs.dropDuplicates(["tid"])
     members = tagged.select("tbl", "url", "tid").distinct().join(docs.select("tid"), "tid", "left_semi")
     members = materialize(members)
     classes = members.groupBy("tid").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first"))
