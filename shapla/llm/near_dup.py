@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapla.llm.common import flush, rows_of
-from shapla.session import materialize
+from shapla.session import broadcast_if, materialize
 
 SIMILARITY, RUN, MIN_WORDS = 0.6, 3, 40
 BITS, RADIUS = 256, 84
@@ -198,7 +198,8 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     often = times >= 3
     common = values[often][np.argsort(times[often], kind="stable")]
     shards = materialize(shared_shards(shard_keys(docs, common, similarity)))
-    members = shards.select("tid").distinct()
+    members = materialize(shards.select("tid").distinct())
+    members = broadcast_if(members, members.count(), 32)
     printed = materialize(docs.join(members, "tid", "left_semi").dropDuplicates(["tid"]))
     schema = pa.schema([("tid", pa.int64()), ("tbl", pa.string()), ("m", pa.int32()), ("print", pa.binary())])
 
