@@ -141,10 +141,11 @@ def tree_search(nodes: DataFrame, toc: DataFrame, queries: DataFrame, top_nodes:
     texts = chosen.join(nodes.select(F.col("node_id").alias("key"), F.col("ordinal").alias("at"), F.concat(F.lit("Source: "), F.coalesce("title", F.lit("Unknown")), F.lit("\n"), F.coalesce("text", F.lit(""))).alias("part")), "key")
     combined = texts.groupBy("query").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "\n\n").alias("whole"))
     combined = materialize(combined)
-    chunks = combined.select("query", F.posexplode(char_chunks(F.col("whole"), size, overlap)).alias("no", "chunk"))
-    toks = chunks.select("query", "no", F.size(tokens(F.col("chunk"))).alias("dl"), F.explode_outer(tokens(F.col("chunk"))).alias("term"))
-    tf = toks.where("term IS NOT NULL").groupBy("query", "no", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    stats = chunks.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens(F.col("chunk")))).alias("avgdl"))
+    chunks = materialize(combined.select("query", F.posexplode(char_chunks(F.col("whole"), size, overlap)).alias("no", "chunk")))
+    words = materialize(chunks.select("query", "no", tokens(F.col("chunk")).alias("words")))
+    toks = words.select("query", "no", F.size("words").alias("dl"), F.explode("words").alias("term"))
+    tf = toks.groupBy("query", "no", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    stats = words.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("avgdl"))
     df = tf.groupBy("query", "term").agg(F.count(F.lit(1)).alias("df")).join(stats, "query").withColumn("idf", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     df = materialize(df)
     mean = df.groupBy("query").agg(F.avg("idf").alias("mean"))

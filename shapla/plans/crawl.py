@@ -262,8 +262,8 @@ def clean_lines(s, d):
 
 
 @q(rf"""WITH p AS (SELECT DISTINCT url, markdown_body AS b, title FROM banglapedia_pages WHERE markdown_body IS NOT NULL),
-       h AS (SELECT url, b, title, CASE WHEN coalesce(strpos(b, '#  ' || title), 0) > 0 THEN strpos(b, '#  ' || title) WHEN regexp_matches(b, '(?m)^#\s') THEN strpos(b, regexp_extract(b, '(?m)^#\s+[^\n]*')) ELSE 1 END AS at FROM p),
-       c AS (SELECT url, title, substring(b, at) AS body FROM h), e AS (SELECT *, least(nullif(strpos(body, '''[http'), 0), nullif(strpos(body, '{X.ARTICLE_ENDS[1]}'), 0)) AS stop FROM c)
+       h AS (SELECT url, b, title, CASE WHEN coalesce(strpos(b, '#  ' || title), 0) > 0 THEN strpos(b, '#  ' || title) WHEN regexp_matches(b, '(?m)^#\s') THEN strpos(b, regexp_extract(b, '(?m)^#\s+[^\n]*')) ELSE 1 END AS pos FROM p),
+       c AS (SELECT url, title, substring(b, pos) AS body FROM h), e AS (SELECT *, least(nullif(strpos(body, '''[http'), 0), nullif(strpos(body, '{X.ARTICLE_ENDS[1]}'), 0)) AS stop FROM c)
        SELECT url, title, CASE WHEN stop IS NOT NULL THEN {trim('substring(body, 1, stop - 1)')} ELSE body END AS article FROM e""")
 def clean_article(s, d):
     p = table(s, d, "banglapedia_pages").where("markdown_body IS NOT NULL").select("url", "markdown_body", "title").distinct()
