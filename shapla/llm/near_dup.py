@@ -27,7 +27,7 @@ BITS, RADIUS = 256, 84
 #: A shard larger than this is searched in blocks of about this many texts, every two blocks in a task of their own.
 HOT = 4096
 #: Texts that set the order of runs; it never changes the result.
-ORDER_SAMPLE = 3000
+ORDER_SAMPLE = 16_000
 #: Classes of equal texts up to this size are expanded into all pairs, larger ones into pairs with their first member.
 EXPAND = 64
 SEEDS = np.random.default_rng(11).integers(1, 1 << 63, BITS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -195,7 +195,7 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     every = max(1, -(-n // ORDER_SAMPLE))
     sample = docs.where(F.pmod(F.xxhash64("tid"), F.lit(every)) == 0).select("runs").toArrow()["runs"]  # bounded by ORDER_SAMPLE
     values, times = np.unique(sample.combine_chunks().values.to_numpy() if sample.num_chunks else np.zeros(0, np.int64), return_counts=True)
-    often = times >= 3
+    often = times >= 2
     common = values[often][np.argsort(times[often], kind="stable")]
     shards = materialize(shared_shards(shard_keys(docs, common, similarity)))
     members = materialize(shards.select("tid").distinct())
@@ -217,7 +217,7 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     block = F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.xxhash64("key", F.least(block, j), F.greatest(block, j)))
     split = split.select("tid", F.explode(F.when(F.col("blocks").isNull(), F.array("key")).otherwise(tasks)).alias("key"))
-    grouped = split.join(prints, "tid").withColumn("key", F.xxhash64("tbl", "key")).repartition("key").sortWithinPartitions("key", "tid").select("key", "tid", "m", "print")
+    grouped = split.join(broadcast_if(prints, prints.count(), 96), "tid").withColumn("key", F.xxhash64("tbl", "key")).repartition("key").sortWithinPartitions("key", "tid").select("key", "tid", "m", "print")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs(batches):
