@@ -200,7 +200,7 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     shards = materialize(shared_shards(shard_keys(docs, common, similarity)))
     members = materialize(shards.select("tid").distinct())
     members = broadcast_if(members, members.count(), 32)
-    printed = materialize(docs.join(members, "tid", "left_semi").dropDuplicates(["tid"]))
+    printed = docs.join(members, "tid", "left_semi")
     schema = pa.schema([("tid", pa.int64()), ("tbl", pa.string()), ("m", pa.int32()), ("print", pa.binary())])
 
     def mark(batches):
@@ -211,7 +211,7 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             rows = [(t, tbl, len(h), fingerprint(h)) for t, tbl, h in zip(b.column(b.schema.get_field_index("tid")).to_pylist(), b.column(b.schema.get_field_index("tbl")).to_pylist(), parts, strict=True)]
             yield flush(rows, schema)
 
-    prints = materialize(printed.select("tid", "tbl", "runs").mapInArrow(mark, "tid long, tbl string, m int, print binary"))
+    prints = materialize(printed.select("tid", "tbl", "runs").mapInArrow(mark, "tid long, tbl string, m int, print binary").dropDuplicates(["tid"]))
     hot = shards.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("blocks")).where("blocks > 1")
     split = shards.join(F.broadcast(hot) if hot.limit(100_001).count() <= 100_000 else hot, "key", "left")
     block = F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")
@@ -247,8 +247,9 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             tree(*rest[1:])
         yield flush(sorted(found), out)
 
-    candidates = grouped.mapInArrow(pairs, "a long, b long").distinct()
-    runs = printed.select("tid", "runs")
+    candidates = materialize(grouped.mapInArrow(pairs, "a long, b long").distinct())
+    need = materialize(candidates.select(F.explode(F.array("a", "b")).alias("tid")).distinct())
+    runs = docs.join(broadcast_if(need, need.count(), 32), "tid", "left_semi").select("tid", "runs").dropDuplicates(["tid"])
     both = candidates.join(runs.select(F.col("tid").alias("a"), F.col("runs").alias("ra")), "a").join(runs.select(F.col("tid").alias("b"), F.col("runs").alias("rb")), "b")
     shared = F.size(F.array_intersect("ra", "rb"))
     return both.where(shared >= similarity * (F.size("ra") + F.size("rb") - shared) - 1e-9).select("a", "b")
