@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shapla.llm.common import HOST, hash64, host_of
+from shapla.llm.common import HOST, hash64, host_of, plain
 from shapla.llm.repeated_lines import MIN_URLS, page_keys
 
 #: At most about so many pages label the model; everything else runs over all pages.
@@ -110,6 +110,12 @@ def train(labelled: list[tuple[list[str], int]], epochs: int = 6, rate: float =
     return LineModel({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}, float(bias))
 
 
+def pointer(line: str) -> str:
+    """The words before the colon of a short line that points to something, or ""."""
+    head, colon, tail = plain(line).partition(":")
+    return head if colon and tail and len(head.split()) <= 3 and len(tail.split()) <= 12 and line.lstrip()[:1] not in "#|>" and not END.search(line) else ""
+
+
 def surely_entry(feats: list[str]) -> bool:
     """Whether a line that doesn't repeat may label the entry: headings, tables, quotations, long items, paragraphs.
 
@@ -123,7 +129,8 @@ def surely_entry(feats: list[str]) -> bool:
 def fit(pages: DataFrame, max_pages: int = TRAIN_PAGES) -> LineModel:
     """The model from a bounded sample: whole sources with many pages, at most about `max_pages` pages in all.
 
-    Within the sample the lines that repeat in their source, or that several sources share, are furniture; of the rest
+    Within the sample the lines that repeat in their source, that several sources share, or that point to something in
+    the same words ("see also: ..."), are furniture; of the rest
     those that surely belong to an entry stand for it. Of a source larger
     than a quarter of the bound, pages are drawn by the hash of their url.
     """
@@ -156,12 +163,17 @@ def fit(pages: DataFrame, max_pages: int = TRAIN_PAGES) -> LineModel:
         for k, a in zip(keys, anywhere, strict=True):
             urls.setdefault(k, set()).add(r.url)
             hosts_of.setdefault(a, set()).add(host)
+    pointed: dict[str, set[str]] = {}
+    for r in got:
+        for line in r.text.split("\n"):
+            if p := pointer(line):
+                pointed.setdefault(p, set()).add(r.url)
     labelled = []
     for r, keys in zip(got, keyed, strict=True):
-        for no, _, feats in page_lines(r.text, host_of(r.url)):
+        for no, line, feats in page_lines(r.text, host_of(r.url)):
             if no in keys:
                 k, a = keys[no]
-                if len(urls[k]) >= MIN_URLS or len(hosts_of[a]) >= MIN_HOSTS:
+                if len(urls[k]) >= MIN_URLS or len(hosts_of[a]) >= MIN_HOSTS or len(pointed.get(pointer(line), ())) >= MIN_URLS:
                     labelled.append((feats, 1))
                 elif surely_entry(feats):
                     labelled.append((feats, 0))
