@@ -117,7 +117,7 @@ def hybrid_topk(s, d):
     e = table(s, d, "embeddings")
     near = search.knn(e, "vec_id", "embedding", e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector")), 4)
     docs = table(s, d, "documents").select("doc_id", "text").distinct()
-    terms = search.query_terms(docs.where("doc_id % 50 = 0 AND length(text) < 400"), "doc_id", F.col("text"))
+    terms = search.query_terms(docs.where("doc_id % 50 = 0"), "doc_id", F.col("text"))
     return search.fuse(search.bm25(docs, "doc_id", F.col("text"), terms, "lucene"), near, 4)
 
 

@@ -7,6 +7,7 @@ from shapla import schemas
 from shapla.functions import text as X
 from shapla.functions import urls as U
 from shapla.operators import links, orphans, search, tables, transcript, tree
+from shapla.plans import retrieve
 from shapla.streaming.ingest import ingest
 
 
@@ -135,3 +136,12 @@ def test_ingest_is_idempotent(spark, tmp_path):
     for _ in range(2):
         got = ingest(spark, str(tmp_path), "pages.parquet", schemas.PAGES, f"file://{tmp_path}/out", "url")
         assert [r.url for r in got.collect()] == ["u"]
+
+
+def test_hybrid_searches_long_query_documents(spark, tmp_path):
+    docs = [(50, "alpha beta " * 60), (100, "gamma"), (1, "alpha"), (2, "gamma delta")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(50, [1.0, 0.0]), (7, [0.0, 1.0])], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r.query, r.key): r.score for r in retrieve.hybrid_topk(spark, str(tmp_path)).collect()}
+    assert set(got) == {(50, 50), (50, 1), (50, 7), (100, 100), (100, 2)}
+    assert got[50, 50] > 1 and got[50, 1] > 1
