@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,18 +24,22 @@ def domains(urls: DataFrame, url: str, suffix: str = ".gov.bd") -> DataFrame:
     return urls.select(domain_of(F.col(url), suffix).alias("domain")).where("domain IS NOT NULL").distinct()
 
 
-def bfs(edges: DataFrame, seeds: DataFrame, levels: int = 100) -> DataFrame:
+def bfs(edges: DataFrame, seeds: DataFrame, levels: int | None = None) -> DataFrame:
     """(url, level) of everything reachable from `seeds`; each level is written out, which cuts the lineage.
 
     `edges`: source_url, target_url. Visited urls are anti-joined, so cycles end; the loop stops when a level is empty.
+    With `levels`, urls further away than that are an error.
     """
     links = edges.select("source_url", "target_url").where("source_url IS NOT NULL AND target_url IS NOT NULL").distinct()
     frontier = materialize(seeds.select("url").distinct().withColumn("level", F.lit(0)))
     visited = frontier
-    for level in range(1, levels + 1):
+    for level in count(1):
         step = frontier.join(links, frontier["url"] == links["source_url"]).select(F.col("target_url").alias("url")).distinct()
         frontier = materialize(step.join(visited.select("url"), "url", "left_anti").withColumn("level", F.lit(level)))
         if frontier.isEmpty():
-            break
+            return visited
+        if level == levels:
+            more = frontier.join(links, frontier["url"] == links["source_url"]).select(F.col("target_url").alias("url"))
+            if not more.join(visited.unionAll(frontier).select("url"), "url", "left_anti").isEmpty():
+                raise ValueError(f"urls are reachable beyond level {levels}")
         visited = visited.unionAll(frontier)
-    return visited

@@ -13,7 +13,8 @@ from shapla.session import materialize
 def flatten(nodes: DataFrame, deepest: int = 100) -> DataFrame:
     """`nodes` (node_id, parent_id, ordinal, ...) with depth and path; ordering by path is the pre-order.
 
-    Roots have no parent. Nodes of a cycle or below a missing parent aren't reachable and are left out.
+    Roots have no parent. Nodes of a cycle or below a missing parent aren't reachable and are left out. A tree with nodes
+    more than `deepest` levels below its roots is an error.
     """
     level = materialize(nodes.where("parent_id IS NULL").select("node_id", F.array("ordinal").alias("path"), F.lit(1).alias("depth")))
     found = level
@@ -23,6 +24,9 @@ def flatten(nodes: DataFrame, deepest: int = 100) -> DataFrame:
         if level.isEmpty():
             break
         found = found.unionAll(level)
+    else:
+        if not nodes.select("parent_id").join(level.select(F.col("node_id").alias("parent_id")), "parent_id").isEmpty():
+            raise ValueError(f"nodes lie more than {deepest} levels below the roots")
     return nodes.join(found, "node_id")
 
 

@@ -217,7 +217,7 @@ def link_graph(s, d):
       r(url, level) AS (SELECT DISTINCT url, 0 FROM websites WHERE url LIKE '%/page/%' UNION SELECT b, level + 1 FROM r JOIN e ON a = url WHERE level < 4)
       SELECT url, min(level)::INT AS level FROM r GROUP BY url""")
 def bfs_levels(s, d):
-    return links.bfs(table(s, d, "website_links"), table(s, d, "websites").where("url LIKE '%/page/%'").select("url"), 4)
+    return links.bfs(table(s, d, "website_links"), table(s, d, "websites").where("url LIKE '%/page/%'").select("url"))
 
 
 @q("SELECT DISTINCT url, replace(url_decode(replace(list_extract(string_split(url, 'title='), -1), '+', '%2B')), '_', ' ') AS title FROM banglapedia_pages")

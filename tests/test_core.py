@@ -7,7 +7,7 @@ from shapla import schemas
 from shapla.functions import text as X
 from shapla.functions import urls as U
 from shapla.operators import links, orphans, search, tables, transcript, tree
-from shapla.plans import retrieve
+from shapla.plans import crawl, retrieve
 from shapla.streaming.ingest import ingest
 
 
@@ -145,3 +145,19 @@ def test_hybrid_searches_long_query_documents(spark, tmp_path):
     got = {(r.query, r.key): r.score for r in retrieve.hybrid_topk(spark, str(tmp_path)).collect()}
     assert set(got) == {(50, 50), (50, 1), (50, 7), (100, 100), (100, 2)}
     assert got[50, 50] > 1 and got[50, 1] > 1
+
+
+def test_bfs_drains_and_limits_raise(spark, tmp_path):
+    names = ["s/page/0", *"abcdefg"]
+    edges = spark.createDataFrame(list(zip(names, names[1:], strict=False)), "source_url string, target_url string")
+    edges.write.parquet(f"{tmp_path}/website_links.parquet")
+    spark.createDataFrame([(names[0],)], "url string").write.parquet(f"{tmp_path}/websites.parquet")
+    assert {r.url: r.level for r in crawl.bfs_levels(spark, str(tmp_path)).collect()} == {u: i for i, u in enumerate(names)}
+    seeds = spark.createDataFrame([(names[0],)], "url string")
+    assert links.bfs(edges, seeds, 7).count() == 8
+    with pytest.raises(ValueError):
+        links.bfs(edges, seeds, 6)
+    nodes = spark.createDataFrame([("r", None, 0), ("a", "r", 0), ("b", "a", 0)], "node_id string, parent_id string, ordinal int")
+    assert tree.flatten(nodes, 2).count() == 3
+    with pytest.raises(ValueError):
+        tree.flatten(nodes, 1)
