@@ -72,16 +72,20 @@ class LineModel:
 
 def page_lines(text: str, host: str) -> list[tuple[int, str, list[str]]]:
     """(line number, line, features) of each line that isn't blank."""
+    return list(each_line(text, host))
+
+
+def each_line(text: str, host: str):
+    """The rows of page_lines, made as they are asked for."""
     lines = text.split("\n")
     full = [bool(x.strip(" \t\r-*_=")) for x in lines]
-    total, rank, out = sum(full), 0, []
+    total, rank = sum(full), 0
     for i, line in enumerate(lines):
         if full[i]:
             before = i == 0 or not full[i - 1]
             after = i + 1 == len(lines) or not full[i + 1]
-            out.append((i + 1, line, line_features(line, host, before, after, rank, total - rank - 1)))
+            yield i + 1, line, line_features(line, host, before, after, rank, total - rank - 1)
             rank += 1
-    return out
 
 
 def train(labelled: list[tuple[list[str], int]], epochs: int = 6, rate: float = 0.3, decay: float = 1e-5) -> LineModel:

@@ -173,3 +173,16 @@ def test_sentences():
     assert cut("会议（信息。）继续。好！") == ["会议（信息。）继续。", "好！"]
     assert cut("กขค 24 กขค งจฉ") == ["กขค 24 กขค", "งจฉ"]
     assert s.ends("") == [] and s.ends(" \n") == []
+
+
+def test_residue_beside_long_furniture():
+    model = line_model.LineModel({w: 4.0 for w in ("home", "notice", "services", "contact")}, -2.0)
+    found = residue.ResidueModel(set(), {})
+    menu = " | ".join(["Home", "Notice", "Services", "Contact"] * 10)
+    assert 300 < len(menu) < 400
+    assert found.residue("markdown_body", "http://h.example/1", menu + "\n\n# 403 Forbidden\n\nYou have no permission to open this folder.", model)
+    assert not found.residue("markdown_body", "http://h.example/2", menu + "\n\n" + "The river office lends its meters. " * 20, model)
+    filler = "Lorem ipsum dolor sit amet consectetur adipiscing elit. " * 8
+    assert found.residue("markdown_body", "http://h.example/3", menu + "\n\n" + filler, model)
+    links = "See also [the error list](http://h.example/" + "x" * 300 + ")"
+    assert residue.core_words("markdown_body", "http://h.example/4", links, model) is not None
