@@ -58,7 +58,7 @@ def titles_of(title: str | None, lines: list[str]) -> list[str]:
             break
     if not found:
         whole = {plain(x) for x in lines}
-        for line in lines[:40]:
+        for line in lines:
             if len(line) < 200 and (m := TAIL.search(plain(line))):
                 t = (m.group(1) or m.group(2)).strip(MARKS)
                 if t in whole and t != plain(line):

@@ -186,3 +186,8 @@ def test_residue_beside_long_furniture():
     assert found.residue("markdown_body", "http://h.example/3", menu + "\n\n" + filler, model)
     links = "See also [the error list](http://h.example/" + "x" * 300 + ")"
     assert residue.core_words("markdown_body", "http://h.example/4", links, model) is not None
+
+
+def test_own_title_is_found_on_any_line():
+    lines = ["A Notice of Weavers", *[f"plain words {chr(97 + i % 26)}" for i in range(60)], "share: A Notice of Weavers"]
+    assert common.titles_of(None, lines) == ["A Notice of Weavers"]
