@@ -65,8 +65,23 @@ def test_tree_pairs_equal_brute_force():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 256, (40, 32), dtype=np.uint8)
     prints = np.concatenate([base, base ^ (1 << rng.integers(0, 8, base.shape)).astype(np.uint8) * (rng.random(base.shape) < 0.3), np.repeat(base[:1], 70, 0)])
-    want = {(i, j) for i in range(len(prints)) for j in range(i + 1, len(prints)) if int(near_dup.POPCOUNT[prints[i] ^ prints[j]].sum()) <= 60}
-    assert set(near_dup.tree_pairs(prints, 60, leaf=8)) == want
+    prints = np.ascontiguousarray(prints).view(np.uint64)
+    sizes = rng.integers(40, 200, len(prints))
+    near = [(i, j) for i in range(len(prints)) for j in range(i + 1, len(prints)) if int(near_dup.distances(prints[i], prints[j])) <= 60]
+    tally = {}
+    assert set(near_dup.tree_pairs(prints, radius=60, leaf=8, tally=tally)) == set(near)
+    assert tally["split"] > 0  # the cluster of equal prints is parted by its vantage point
+    want = {(i, j) for i, j in near if min(sizes[i], sizes[j]) >= 0.6 * max(sizes[i], sizes[j])}
+    assert set(near_dup.tree_pairs(prints, sizes, radius=60, leaf=8)) == want
+    order = np.argsort(sizes, kind="stable")
+    a, b = near_dup.small_pairs(np.zeros(len(order), np.int64), sizes[order], prints[order], radius=60)
+    assert {tuple(sorted((int(order[i]), int(order[j])))) for i, j in zip(a, b, strict=True)} == want
+
+
+def test_keys_needed():
+    assert near_dup.keys_needed(1000, 0) == 23  # 0.4 ** 23 < 1e-9
+    assert near_dup.keys_needed(40, 0) == 17  # enough for certain
+    assert near_dup.keys_needed(1000, 590) > 300 and near_dup.keys_needed(1000, 600) == 401
 
 
 def test_near_duplicates_equal_brute_force(spark):
@@ -92,11 +107,13 @@ def test_near_duplicates_equal_brute_force(spark):
                 want.add((a, b))
     df = pages(spark, rows)
     assert {(r.url_a, r.url_b) for r in near_dup.near_duplicates(df).collect()} == want
-    old, near_dup.HOT = near_dup.HOT, 2
+    old, near_dup.HOT = near_dup.HOT, 2  # most shards are hot: bands and blocks
     try:
         assert {(r.url_a, r.url_b) for r in near_dup.near_duplicates(df).collect()} == want
     finally:
         near_dup.HOT = old
+    degree = {(r["url"], r["class"]): (r.copies, r.links) for r in near_dup.near_duplicate_classes(df).collect()}
+    assert degree["copy", "copy"] == (2, len({b for a, b in want if a == "copy"} - {"u0-0"})) and degree["u0-0", "copy"] == degree["copy", "copy"]
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
