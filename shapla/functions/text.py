@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shapla.functions.urls import unescape
+
 TOKEN = r"[\p{L}\p{N}_]+"
 # Lines of a standard page frame, two of which end the page; markers of exported summaries and articles.
 JUNK = [
@@ -91,18 +93,76 @@ def llm_fields(c: Column) -> tuple[Column, Column]:
 
 
 BLOCKS = ["nav", "footer", "header", "aside", "form", "script", "style", "noscript"]
+BREAKS = "p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|main|blockquote|dd|dt"
 
 
 def html_text(c: Column) -> Column:
     """Text of a page without furniture elements and tags; the usual entities are resolved."""
+    return trim_ws(F.regexp_replace(unescape(F.regexp_replace(without_blocks(c), r"<[^>]*>", " ")), r"[ \t\n\r]+", " "))
+
+
+def without_blocks(c: Column) -> Column:
     for tag in BLOCKS:
         c = F.regexp_replace(c, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", " ")
-    c = F.regexp_replace(c, r"<[^>]*>", " ")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return trim_ws(F.regexp_replace(c, r"[ \t\n\r]+", " "))
+    return c
+
+
+def html_blocks(c: Column, least: int = 20) -> Column:
+    """Texts of the blocks of a page with at least `least` words; NULL gives an empty array."""
+    parts = F.split(F.regexp_replace(without_blocks(c), rf"(?i)</?(?:{BREAKS})\b[^>]*>", "\x00"), "\x00")
+    plain = F.transform(parts, lambda x: trim_ws(F.regexp_replace(unescape(F.regexp_replace(x, r"<[^>]*>", " ")), r"[ \t\n\r]+", " ")))
+    return F.coalesce(F.filter(plain, lambda x: (x != "") & (F.size(F.split(x, " ")) >= least)), F.array().cast("array<string>"))
+
+
+def html_element(c: Column, id_: str) -> Column:
+    """From the opening tag with that id to the end of the page; the whole page where there is none."""
+    found = F.regexp_extract(c, rf"(?is)<[a-z][^>]*\bid\s*=\s*[\"']{id_}[\"'][^>]*>(.*)$", 1)
+    return F.when(found == "", c).otherwise(found)
+
+
+def html_markdown(c: Column) -> Column:
+    """A page without furniture elements as markdown: headings, list items, links and paragraphs."""
+    c = without_blocks(c)
+    for n in range(1, 7):
+        c = F.regexp_replace(c, rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n")
+    c = F.regexp_replace(c, r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>""", "[$2]($1)")
+    c = F.regexp_replace(c, r"(?is)<li\b[^>]*>", "\n- ")
+    c = F.regexp_replace(F.regexp_replace(c, rf"(?i)</?(?:{BREAKS})\b[^>]*>", "\n\n"), r"<[^>]*>", " ")
+    return trim_ws(F.regexp_replace(F.regexp_replace(F.regexp_replace(unescape(c), r"[ \t\r]+", " "), r" ?\n ?", "\n"), r"\n{3,}", "\n\n"))
 
 
 def content_status(c: Column, least: int = 50) -> Column:
     """failed_no_content below `least` trimmed characters, else success."""
     return F.when(c.isNull() | (F.length(trim_ws(c)) < least), "failed_no_content").otherwise("success")
+
+
+def page_status(c: Column, error: Column, least: int = 50) -> Column:
+    """error where the step raised one, else as `content_status`."""
+    return F.when(error.isNotNull(), "error").otherwise(content_status(c, least))
+
+
+def sanitize_list(c: Column) -> Column:
+    """`sanitize` of each item; NULL gives an empty array."""
+    return F.coalesce(F.transform(c, sanitize), F.array().cast("array<string>"))
+
+
+# Texts put around queries, documents, sources and passages.
+def query_text(q: Column) -> Column:
+    return F.concat(F.lit("task: search result | query: "), q)
+
+
+def document_text(summary: Column) -> Column:
+    return F.concat(F.lit("সারসংক্ষেপ: "), F.coalesce(summary, F.lit("None")))
+
+
+def passage_text(title: Column, chunk: Column) -> Column:
+    return F.concat(F.lit("title: none | text: "), title, F.lit(" - "), chunk)
+
+
+def source_link(url: Column) -> Column:
+    return F.concat(F.lit("- ["), url, F.lit("]("), url, F.lit(")"))
+
+
+def with_time(df: DataFrame, column: str = "processed_at") -> DataFrame:
+    """`df` with the time of writing; one value a query."""
+    return df.withColumn(column, F.current_timestamp().cast("timestamp_ntz"))

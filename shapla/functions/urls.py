@@ -31,30 +31,54 @@ def key_host(key: Column) -> Column:
     return F.regexp_extract(key, r"^[^/?]*", 0)
 
 
-def resolve_href(base: Column, href: Column) -> Column:
-    """`urljoin(base, strip(href))` without fragment for absolute, `//`, root, `?` and plain relative references.
+def without_dots(path: Column, inner: bool) -> Column:
+    """A path with its `.` and `..` segments resolved; `inner` drops empty segments between the first and the last."""
+    segs = F.split(path, "/")
+    n = F.size(segs)
+    if inner:
+        segs = F.filter(segs, lambda x, i: (x != "") | (i == 0) | (i == n - 1))
+    last = F.element_at(segs, -1)
+    kept = F.aggregate(segs, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+    out = F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    return F.when(out.startswith("/"), out).otherwise(F.concat(F.lit("/"), out))
 
-    Dot segments are left as they are.
-    """
-    h = F.regexp_replace(href, r"(?U)^\s+|\s+$", "")
+
+def resolve_href(base: Column, href: Column) -> Column:
+    """`urljoin(base, strip(href))` without fragment: absolute, `//`, root, `?` and relative references with dot segments."""
+    h = F.split_part(F.regexp_replace(href, r"(?U)^\s+|\s+$", ""), F.lit("#"), F.lit(1))
+    base = F.split_part(base, F.lit("#"), F.lit(1))
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    root = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
-    bare = F.regexp_replace(base, r"[?#][\s\S]*$", "")
-    folder = F.when(F.length(bare) == F.length(root), F.concat(bare, F.lit("/"))).otherwise(F.regexp_replace(bare, r"[^/]*$", ""))
-    joined = (
+    root = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*", 0)
+    bare = F.split_part(base, F.lit("?"), F.lit(1))
+    path = F.regexp_replace(F.substring(bare, F.length(root) + 1, F.length(bare)), r"[^/]*$", "")
+    hpath, query = F.split_part(h, F.lit("?"), F.lit(1)), F.regexp_extract(h, r"^[^?]*(\?[\s\S]*)$", 1)
+    below = F.concat(F.when(path == "", F.lit("/")).otherwise(path), hpath)
+    return (
         F.when(h == "", base)
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(root, h))
         .when(h.startswith("?"), F.concat(bare, h))
-        .when(h.startswith("#"), base)
-        .otherwise(F.concat(folder, h))
+        .when(h.startswith("/"), F.concat(root, without_dots(hpath, False), query))
+        .otherwise(F.concat(root, without_dots(below, True), query))
     )
-    return F.split_part(joined, F.lit("#"), F.lit(1))
+
+
+#: The entities that stand in urls and plain text of pages.
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+
+
+def unescape(c: Column) -> Column:
+    for a, b in ENTITIES:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
 
 
 def html_hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r'<a\b[^>]*?\bhref="([^"]*)"'), F.lit(1))
+    """Targets of all anchors, in double, single or no quotes, in any letter case, entities resolved."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*?(?<=\s)href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)"""), F.lit(0))
+    quoted = lambda m, q: F.regexp_extract(m, f"(?s){q}([^{q}]*){q}$", 1)
+    value = lambda m: F.when(m.endswith('"'), quoted(m, '"')).when(m.endswith("'"), quoted(m, "'")).otherwise(F.regexp_extract(m, r"(?is)href\s*=\s*([^\s>]*)$", 1))
+    return F.transform(found, lambda m: unescape(value(m)))
 
 
 #: Fixed value: a markdown link to an absolute http(s) url; the url ends at white space or the first `)`.
@@ -78,3 +102,13 @@ def url_of_title(title: Column, base: str = "https://kosh.example/index?title=")
 def candidates(domain: Column) -> Column:
     """The https and the http address of a domain, in order of preference."""
     return F.array(F.concat(F.lit("https://"), domain), F.concat(F.lit("http://"), domain))
+
+
+def fetched(code: Column) -> Column:
+    """Whether a page counts as fetched: only with status 200; no answer is no page."""
+    return F.coalesce(code == 200, F.lit(False))
+
+
+def alive(code: Column) -> Column:
+    """Whether a host counts as alive: any status below 400."""
+    return F.coalesce(code < 400, F.lit(False))

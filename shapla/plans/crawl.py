@@ -11,7 +11,7 @@ from shapla.functions import text as X
 from shapla.functions import urls as U
 from shapla.operators import links, tables
 from shapla.session import shared_dir, table
-from shapla.streaming.ingest import ingest
+from shapla.streaming.ingest import KeyedTable, index_by_key, ingest
 
 NAMES = ["websites", "website_links", "gov_bd_pages", "banglapedia_pages", "bd_gov_chunks", "documents", "declared_langs", "eval_queries", "lang_samples", "orders", "lineitem", "customer"]
 Q, O = {}, {}
@@ -74,7 +74,11 @@ def table_profile(s, d):
     return tables.row_counts({n: table(s, d, n) for n in NAMES})
 
 
-@q()
+TYPES = "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"
+LISTED = ", ".join(f"'{n}'" for n in NAMES)
+
+
+@q(f"SELECT DISTINCT table_name, column_name, {TYPES} AS data_type FROM information_schema.columns WHERE table_name IN ({LISTED})")
 def column_profile(s, d):
     return tables.column_list({n: table(s, d, n) for n in NAMES})
 
@@ -173,22 +177,27 @@ def domain_discovery(s, d):
     return links.domains(table(s, d, "website_links"), "target_url")
 
 
-HREFS = [" /a/b ", "c?x=1#f", "//h.example/y", "?q=2", "#t", "mailto:a@b.example", "", "https://z.example/p#q"]
+HREFS = [" /a/b ", "c?x=1#f", "//h.example/y", "?q=2", "#t", "mailto:a@b.example", "", "https://z.example/p#q", "../d", "./e/../g"]
 
 
-@q(r"""WITH u AS (SELECT DISTINCT url FROM websites WHERE url NOT LIKE '%#%'), h AS (SELECT unnest(['/a/b', 'c?x=1', '//h.example/y', '?q=2', '', 'mailto:a@b.example', '', 'https://z.example/p']) AS h, unnest([1,2,3,4,5,6,7,8]) AS n),
-      p AS (SELECT url, n, h, regexp_extract(url, '^[A-Za-z]+://[^/?#]*') AS root, regexp_replace(url, '\?.*$', '') AS bare FROM u, h)
-      SELECT DISTINCT url, n::INT AS n, CASE WHEN h = '' THEN url WHEN n IN (6, 8) THEN h WHEN n = 3 THEN split_part(url, ':', 1) || ':' || h WHEN n = 1 THEN root || h WHEN n = 4 THEN bare || h
-        ELSE CASE WHEN bare = root THEN bare || '/' ELSE regexp_replace(bare, '[^/]*$', '') END || h END AS link FROM p""")
+@q(r"""WITH u AS (SELECT DISTINCT url, split_part(url, '#', 1) AS b FROM websites), h AS (SELECT unnest(['/a/b', 'c?x=1', '//h.example/y', '?q=2', '', 'mailto:a@b.example', '', 'https://z.example/p', 'd', 'g']) AS h, unnest([1,2,3,4,5,6,7,8,9,10]) AS n),
+      p AS (SELECT url, b, n, h, regexp_extract(b, '^[A-Za-z]+://[^/?]*') AS root, split_part(b, '?', 1) AS bare FROM u, h),
+      f AS (SELECT *, root || '/' || array_to_string(list_filter(string_split(substring(bare, length(root) + 1), '/')[:-2], lambda x: x <> '') , '/') AS fold FROM p),
+      g AS (SELECT *, CASE WHEN fold = root || '/' THEN fold ELSE fold || '/' END AS folder FROM f)
+      SELECT DISTINCT url, n::INT AS n, CASE WHEN h = '' THEN b WHEN n IN (6, 8) THEN h WHEN n = 3 THEN split_part(b, ':', 1) || ':' || h WHEN n = 1 THEN root || h WHEN n = 4 THEN bare || h
+        WHEN n = 9 AND folder <> root || '/' THEN regexp_replace(folder, '[^/]*/$', '') || h ELSE folder || h END AS link FROM g""")
 def href_resolve(s, d):
     hrefs = F.posexplode(F.array(*[F.lit(h) for h in HREFS])).alias("i", "href")
-    return table(s, d, "websites").where("url NOT LIKE '%#%'").select("url").distinct().select("url", hrefs).select("url", (F.col("i") + 1).alias("n"), U.resolve_href(F.col("url"), F.col("href")).alias("link"))
+    return table(s, d, "websites").select("url").distinct().select("url", hrefs).select("url", (F.col("i") + 1).alias("n"), U.resolve_href(F.col("url"), F.col("href")).alias("link"))
 
 
-@q("SELECT DISTINCT source_url, target_url AS href FROM website_links WHERE target_url NOT LIKE '%\"%'")
+@q("SELECT DISTINCT source_url, target_url AS href FROM website_links WHERE target_url IS NOT NULL")
 def page_links_distinct(s, d):
-    html = F.concat(F.lit('<p>x</p><a class="l" href="'), "target_url", F.lit('">t</a>'))
-    pages = table(s, d, "website_links").where("target_url NOT LIKE '%\"%'").select("source_url", html.alias("html"))
+    """Pages made of the links, escaped, in either kind of quotes and letter case."""
+    escaped = F.replace(F.replace(F.replace("target_url", F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;")), F.lit("'"), F.lit("&#39;"))
+    double = F.concat(F.lit('<p data-href="no">x</p><a class="l" href="'), escaped, F.lit('">t</a>'))
+    single = F.concat(F.lit("<P>x</P><A title='>' HREF = '"), escaped, F.lit("'>t</A>"))
+    pages = table(s, d, "website_links").select("source_url", F.when(F.col("id") % 2 == 0, double).otherwise(single).alias("html"))
     return pages.select("source_url", F.explode(U.html_hrefs(F.col("html"))).alias("href")).distinct()
 
 
@@ -214,8 +223,9 @@ def link_graph(s, d):
 
 
 @q("""WITH RECURSIVE e AS (SELECT DISTINCT source_url AS a, target_url AS b FROM website_links WHERE target_url IS NOT NULL AND source_url IS NOT NULL),
-      r(url, level) AS (SELECT DISTINCT url, 0 FROM websites WHERE url LIKE '%/page/%' UNION SELECT b, level + 1 FROM r JOIN e ON a = url WHERE level < 4)
-      SELECT url, min(level)::INT AS level FROM r GROUP BY url""")
+      r(url, level) USING KEY (url) AS (SELECT DISTINCT url, 0 FROM websites WHERE url LIKE '%/page/%'
+        UNION SELECT b, min(level) + 1 FROM r JOIN e ON a = url WHERE b NOT IN (SELECT url FROM recurring.r) GROUP BY b)
+      SELECT url, level::INT AS level FROM r""")
 def bfs_levels(s, d):
     return links.bfs(table(s, d, "website_links"), table(s, d, "websites").where("url LIKE '%/page/%'").select("url"))
 
@@ -291,24 +301,27 @@ def header_demote(s, d):
     return table(s, d, "websites").where("raw_markdown IS NOT NULL").select("url", X.demote_headers(F.col("raw_markdown")).alias("md")).distinct()
 
 
-@q(rf"""SELECT DISTINCT url, {trim("regexp_replace(replace(replace('  ' || title || ' &amp; <b>' || coalesce(status, '') || '</b>', '<b>', ' '), '</b>', ' '), '[ \t\n\r]+', ' ', 'g')").replace('&amp;', '&')} AS body FROM gov_bd_pages WHERE title IS NOT NULL AND title NOT LIKE '%&%' AND title NOT LIKE '%<%'""")
+@q(rf"""SELECT DISTINCT url, {trim("regexp_replace(title || ' & ' || coalesce(status, ''), '[ \\t\\n\\r]+', ' ', 'g')")} AS body FROM gov_bd_pages WHERE title IS NOT NULL""")
 def html_to_text(s, d):
-    html = F.concat(F.lit('<nav class="m"><a href="/x">menu</a></nav><script>var a = 1;</script><div> '), "title", F.lit(" &amp; <b>"), F.coalesce("status", F.lit("")), F.lit("</b></div><footer>end</footer>"))
-    p = table(s, d, "gov_bd_pages").where("title IS NOT NULL AND title NOT LIKE '%&%' AND title NOT LIKE '%<%'")
-    return p.select("url", X.html_text(html).alias("body")).distinct()
+    title = F.replace(F.replace(F.replace("title", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    html = F.concat(F.lit('<nav class="m"><a href="/x">menu</a></nav><script>var a = 1;</script><div> '), title, F.lit(" &amp; <b>"), F.coalesce("status", F.lit("")), F.lit("</b></div><footer>end</footer>"))
+    return table(s, d, "gov_bd_pages").where("title IS NOT NULL").select("url", X.html_text(html).alias("body")).distinct()
 
 
-@q("""SELECT DISTINCT url, CASE WHEN NOT json_valid(k) THEN 'Error generating summary.' WHEN json_type(k) = 'ARRAY' THEN 'No summary generated.' ELSE 'No summary generated.' END AS summary
-      FROM (SELECT url, keywords AS k FROM websites WHERE keywords IS NOT NULL AND keywords <> '')""")
+@q("""SELECT DISTINCT url, CASE WHEN status = 'error' THEN 'Error generating summary.' ELSE coalesce(summary, 'No summary generated.') END AS summary,
+      CASE WHEN status = 'error' OR summary IS NULL THEN '[]' ELSE to_json(['a', url])::VARCHAR END AS keywords FROM websites""")
 def llm_defaults(s, d):
-    p = table(s, d, "websites").where("keywords IS NOT NULL AND keywords <> ''")
-    return p.select("url", X.llm_fields(F.col("keywords"))[0].alias("summary")).distinct()
+    """Answers of a model: whole ones, some without fields, and broken ones for rows in error."""
+    whole = F.to_json(F.struct("summary", F.array(F.lit("a"), "url").alias("keywords")))
+    answer = F.when(F.col("status") == "error", F.concat(F.lit('{"summary": '), "url")).when(F.col("summary").isNull(), "{}").otherwise(whole)
+    summary, keywords = X.llm_fields(answer)
+    return table(s, d, "websites").select("url", summary.alias("summary"), keywords.alias("keywords")).distinct()
 
 
-@q("""SELECT DISTINCT 'task: search result | query: ' || queries AS query_text, 'সারসংক্ষেপ: ' || coalesce(expected_answer, 'None') AS doc_text FROM eval_queries""")
+@q("""SELECT DISTINCT 'task: search result | query: ' || queries AS query_text, 'সারসংক্ষেপ: ' || coalesce(expected_answer, 'None') AS doc_text, 'title: none | text: ' || queries || ' - ' || coalesce(expected_answer, '') AS passage, '- [' || queries || '](' || queries || ')' AS source FROM eval_queries""")
 def text_templates(s, d):
-    e = table(s, d, "eval_queries")
-    return e.select(F.concat(F.lit("task: search result | query: "), "queries").alias("query_text"), F.concat(F.lit("সারসংক্ষেপ: "), F.coalesce("expected_answer", F.lit("None"))).alias("doc_text")).distinct()
+    q_, a = F.col("queries"), F.col("expected_answer")
+    return table(s, d, "eval_queries").select(X.query_text(q_).alias("query_text"), X.document_text(a).alias("doc_text"), X.passage_text(q_, F.coalesce(a, F.lit(""))).alias("passage"), X.source_link(q_).alias("source")).distinct()
 
 
 @q("SELECT DISTINCT url, raw_markdown[1:8000] AS llm_input, summary[1:250] AS preview FROM websites WHERE raw_markdown IS NOT NULL")
@@ -316,13 +329,80 @@ def prefix_fields(s, d):
     return table(s, d, "websites").where("raw_markdown IS NOT NULL").select("url", F.substring("raw_markdown", 1, 8000).alias("llm_input"), F.substring("summary", 1, 250).alias("preview")).distinct()
 
 
-@q("SELECT chunk_id, max(chunk_text) AS chunk_text, count(*) AS n FROM bd_gov_chunks GROUP BY chunk_id")
+def scratch(s, name: str) -> str:
+    return f"{shared_dir(s)}/shapla/{name}-{uuid.uuid4().hex}"
+
+
+@q("SELECT chunk_id, max(coalesce(chunk_text, '')) AS chunk_text FROM bd_gov_chunks WHERE chunk_id IS NOT NULL GROUP BY chunk_id")
 def bulk_index(s, d):
-    c = table(s, d, "bd_gov_chunks")
-    return c.groupBy("chunk_id").agg(F.max("chunk_text").alias("chunk_text"), F.count(F.lit(1)).alias("n"))
+    """Chunks in a keyed index, written twice: the same id doesn't make a second row."""
+    c = table(s, d, "bd_gov_chunks").select("chunk_id", F.coalesce("chunk_text", F.lit("")).alias("chunk_text"))
+    index = KeyedTable(s, scratch(s, "index"), c.schema, "chunk_id")
+    for number in range(2):
+        index.write(c, number)
+    return index.read()
 
 
-@q()
+LAST_SITE = "max(struct_pack(t := processed_at, n := coalesce(length(raw_markdown), 0), s := coalesce(status, '')))"
+
+
+@q(f"SELECT url, x.t AS processed_at, x.n AS n, x.s AS status FROM (SELECT url, {LAST_SITE} AS x FROM websites WHERE url IS NOT NULL GROUP BY url)")
+def site_index(s, d):
+    """Sites in a keyed index in three batches of keys, stopped after one and taken up again; the latest row of a url wins."""
+    w = table(s, d, "websites").select("url", "processed_at", F.coalesce(F.length("raw_markdown"), F.lit(0)).cast("long").alias("n"), F.coalesce("status", F.lit("")).alias("status"))
+    path, size = scratch(s, "sites"), w.select("url").distinct().count() // 3 + 1
+    index_by_key(w, path, "url", "processed_at", size, stop_after=1)
+    index_by_key(w, path, "url", "processed_at", size)
+    return KeyedTable(s, path, w.schema, "url", "processed_at").read()
+
+
+LAST_PAGE = "max(struct_pack(t := crawled_at, i := coalesce(title, ''), s := coalesce(status, '')))"
+
+
+@q(f"SELECT url, x.t AS crawled_at, x.i AS title, x.s AS status FROM (SELECT url, {LAST_PAGE} AS x FROM (SELECT * FROM gov_bd_pages WHERE url IS NOT NULL AND (crawled_at, coalesce(markdown_body, ''), coalesce(title, ''), coalesce(status, '')) IS NOT NULL) GROUP BY url)")
 def incremental_ingest(s, d):
-    target = f"{shared_dir(s)}/shapla/ingest-{uuid.uuid4().hex}"
-    return ingest(s, d, "gov_bd_pages.parquet", schemas.PAGES, target, "url").select("url", "title", "status", "crawled_at")
+    """The page queue read as a stream; the row with the latest crawled_at stays."""
+    rows = ingest(s, d, "gov_bd_pages.parquet", schemas.PAGES, scratch(s, "ingest"), "url", "crawled_at")
+    return rows.select("url", "crawled_at", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("status", F.lit("")).alias("status"))
+
+
+@q("""SELECT url, CASE WHEN status = 'error' THEN 'error' WHEN raw_markdown IS NULL OR length(""" + trim("raw_markdown") + """) < 50 THEN 'failed_no_content' ELSE 'success' END AS page_status, count(*) AS n FROM websites GROUP BY 1, 2""")
+def page_status(s, d):
+    error = F.when(F.col("status") == "error", F.lit("raised"))
+    return table(s, d, "websites").select("url", X.page_status(F.col("raw_markdown"), error).alias("page_status")).groupBy("url", "page_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+CODES = {"success": 200, "failed_no_content": 204, "deleted": 404}
+
+
+@q("""SELECT url, coalesce(bool_or(code = 200), false) AS fetched, coalesce(bool_or(code < 400), false) AS alive FROM
+      (SELECT url, CASE status WHEN 'success' THEN 200 WHEN 'failed_no_content' THEN 204 WHEN 'deleted' THEN 404 END AS code FROM websites) GROUP BY url""")
+def http_status(s, d):
+    """A fetch log made of the states; an error has no code."""
+    code = F.lit(None).cast("int")
+    for status, n in CODES.items():
+        code = F.when(F.col("status") == status, n).otherwise(code)
+    log = table(s, d, "websites").select("url", code.alias("code"))
+    return log.groupBy("url").agg(F.max(U.fetched(F.col("code"))).alias("fetched"), F.max(U.alive(F.col("code"))).alias("alive"))
+
+
+@q("SELECT l.source_url, count(*) AS n FROM website_links l WHERE l.source_url IS NULL OR l.source_url NOT IN (SELECT url FROM websites WHERE status = 'deleted' AND url IS NOT NULL) GROUP BY 1")
+def cascade_delete(s, d):
+    gone = table(s, d, "websites").where("status = 'deleted'").select(F.col("url").alias("source_url"))
+    return tables.without_parents(table(s, d, "website_links"), gone, "source_url").groupBy("source_url").agg(F.count(F.lit(1)).alias("n"))
+
+
+@q("SELECT (SELECT count(DISTINCT url) FROM websites WHERE status = 'success') AS found, (SELECT count(DISTINCT url) FROM websites) AS total, NULL::DOUBLE AS seconds")
+def found_of_total(s, d):
+    w = table(s, d, "websites")
+    return tables.found_of_total(w.where("status = 'success'").select("url").where("url IS NOT NULL").distinct(), w.select("url").where("url IS NOT NULL").distinct())
+
+
+@q(f"SELECT unnest([0, 1, 2, 3])::INT AS line_no, unnest(['{'-' * 30}', 'TOTAL_ROWS: ' || n, 'LAST_URL: ' || coalesce(u, 'None'), '{'-' * 30}']) AS line FROM (SELECT count(*) AS n, max(url) AS u FROM gov_bd_pages)")
+def text_report(s, d):
+    return tables.report(table(s, d, "gov_bd_pages").agg(F.count(F.lit(1)).alias("total_rows"), F.max("url").alias("last_url")))
+
+
+@q()
+def storage_sizes(s, d):
+    return tables.table_sizes(s, d).select("table_name", "bytes", tables.pretty_size(F.col("bytes")).alias("size"))

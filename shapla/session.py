@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -18,23 +19,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a private one only where it is unset, as in tests."""
+    """The folder all executors share (spark.checkpoint.dir); a private one only where it is unset and Spark runs on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "shapla-shared")
-        spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def materialize(df: DataFrame, *, partition_by: list[str] | None = None) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage and survives the loss of executors."""
+_made: list[str] = []
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage and survives the loss of executors.
+
+    The folder lives until `clean` or the end of the Python process.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shapla/{uuid.uuid4().hex}"
-    writer = df.write.mode("error")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    if not _made:
+        atexit.register(_clean_at_exit)
+    _made.append(path)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path in its form."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.delete(p, True)
+
+
+def clean(spark: SparkSession) -> int:
+    """Deletes what `materialize` has written so far; DataFrames built on it can't be used any more."""
+    n = len(_made)
+    while _made:
+        remove(spark, _made.pop())
+    return n
+
+
+def _clean_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    try:
+        if spark is not None:
+            clean(spark)
+    except Exception:  # noqa: BLE001 - the JVM may be gone
+        pass
 
 
 def broadcast_if(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

@@ -87,7 +87,7 @@ def test_bm25_against_plain_python(spark):
     docs = {1: "a b a", 2: "b c", 3: "c c d", 4: "b"}
     df = spark.createDataFrame(list(docs.items()), "id long, text string")
     q = spark.createDataFrame([(1, "a b b zz")], "query long, text string")
-    got = {r.key: r.score for r in search.bm25(df, "id", F.col("text"), search.query_terms(q, "query", F.col("text"))).collect()}
+    got = {r.key: r.score for r in search.bm25(search.Index.build(df, "id", F.col("text")), search.query_terms(q, "query", F.col("text")), 4).collect()}
     toks = {k: v.split() for k, v in docs.items()}
     n, avg = len(docs), sum(map(len, toks.values())) / len(docs)
     dfs = Counter(t for v in toks.values() for t in set(v))
