@@ -30,6 +30,7 @@ HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)")
 INVISIBLE = dict.fromkeys([0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])
 UNSEEN = re.compile("[%s]" % "".join(map(chr, INVISIBLE)))
 MARKS = "*_#>+-•|~` \t "
+TAILED = re.compile(r"[/>»:“\"]")
 TAIL = re.compile(r"[/>»:]\s*([^/>»:]+?)\s*$|[“\"]([^”\"]+)[”\"]")
 
 
@@ -59,7 +60,7 @@ def titles_of(title: str | None, lines: list[str]) -> list[str]:
     if not found:
         whole = {plain(x) for x in lines}
         for line in lines:
-            if len(line) < 200 and (m := TAIL.search(plain(line))):
+            if TAILED.search(line) and (m := TAIL.search(plain(line))):
                 t = (m.group(1) or m.group(2)).strip(MARKS)
                 if t in whole and t != plain(line):
                     found.append(t)
@@ -78,7 +79,7 @@ def line_key(line: str, titles: list[str]) -> str:
             s = s.replace(t, "\x01")
     if DIGIT.search(s):
         s = " ".join(NUMBER.sub("", DATE.sub("", s)).split())
-    if len(s) < 200 and BYLINE.search(s):
+    if BYLINE.search(s):
         s = NAME.sub(r"\1", s)
     return s.strip(MARKS) if LETTERS3.search(s) else ""
 

@@ -8,14 +8,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shapla.llm.common import HOST, hash64, host_of, plain
+from shapla.llm.common import HOST, NAME, hash64, host_of, plain
 from shapla.llm.repeated_lines import MIN_URLS, page_keys
 
 #: At most about so many pages label the model; everything else runs over all pages.
 MIN_HOSTS = 3
-TRAIN_PAGES = 6000
-#: Lines longer than this are described by their shape alone.
-LONG = 400
+TRAIN_PAGES, TRAIN_HOSTS = 6000, 400
 WORD = re.compile(r"[^\W\d_]+[^\s\d|»>/,:;.!?।()\[\]\"“”]*")
 END = re.compile(r"[.!?।۔॥](?=[\s*\"”’)]|$)")
 OWN = re.compile(r"\]\((https?://([^/)\s]*)[^)\s]*)\)")
@@ -28,8 +26,6 @@ def line_features(line: str, host: str, before_blank: bool, after_blank: bool, r
     s = s.strip("*").strip()
     kind = "#" if s.startswith("#") else "|" if s.startswith("|") else ">" if s.startswith(">") else "-" if s[:2] in ("- ", "+ ") or line.lstrip()[:2] == "* " else "p"
     feats = []
-    if len(s) > LONG:  # a paragraph; its shape says all
-        return ["\t%s5.2" % kind, "\tblank%d%d" % (before_blank, after_blank), "\ttop%d" % min(rank, 4), "\tleft%d" % min(left, 4)]
     links = OWN.findall(s) if "](" in s else []
     if links:
         own = sum(h.lower().removeprefix("www.") == host.removeprefix("www.") for _, h in links)
@@ -47,6 +43,8 @@ def line_features(line: str, host: str, before_blank: bool, after_blank: bool, r
         feats.append("\tcopyright")
     if DIGITS.search(s):
         feats.append("\tdigits%d" % (size > 2))
+        if NAME.search(s):
+            feats.append("\tbyline%d" % min(ends, 1))
     return feats + words
 
 
@@ -64,6 +62,11 @@ class LineModel:
         get = self.weights.get
         return self.bias + sum([get(f, 0.0) for f in feats])
 
+    def wording(self, feats: list[str]) -> float:
+        """The part of the log odds that comes from words."""
+        get = self.weights.get
+        return sum([get(f, 0.0) for f in feats if f[0] != "\t"])
+
     def knows(self, feats: list[str]) -> bool:
         """Whether the training pages had most of a line's words."""
         words = [f for f in feats if f[0] != "\t"]
@@ -140,7 +143,7 @@ def fit(pages: DataFrame, max_pages: int = TRAIN_PAGES) -> LineModel:
     """
     hosts = pages.groupBy("tbl", F.lower(F.regexp_extract("url", HOST.pattern, 1)).alias("host")).agg(F.count(F.lit(1)).alias("n"))
     most = hosts.agg(F.max("n")).first()[0] or 0
-    drawn = hosts.where(F.col("n") >= min(40, most)).orderBy(F.xxhash64("tbl", "host")).limit(400).collect()
+    drawn = hosts.where(F.col("n") >= min(40, most)).orderBy(F.xxhash64("tbl", "host")).limit(TRAIN_HOSTS).collect()
     chosen, total = [], 0
     by_table: dict[str, int] = {}
     for r in drawn:
@@ -174,11 +177,14 @@ def fit(pages: DataFrame, max_pages: int = TRAIN_PAGES) -> LineModel:
                 pointed.setdefault(p, set()).add(r.url)
     labelled = []
     for r, keys in zip(got, keyed, strict=True):
+        mine = []
         for no, line, feats in page_lines(r.text, host_of(r.url)):
             if no in keys:
                 k, a = keys[no]
                 if len(urls[k]) >= MIN_URLS or len(hosts_of[a]) >= MIN_HOSTS or len(pointed.get(pointer(line), ())) >= MIN_URLS:
-                    labelled.append((feats, 1))
+                    mine.append((feats, 1))
                 elif surely_entry(feats):
-                    labelled.append((feats, 0))
+                    mine.append((feats, 0))
+        if any(v == 0 and any(f.startswith("\tp") and f[2:3].isdigit() for f in feats) for feats, v in mine):  # a page without paragraphs, such as an error page, shows nothing of furniture
+            labelled += mine
     return train(sorted(labelled))

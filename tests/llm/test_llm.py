@@ -28,10 +28,33 @@ def test_repeated_lines(spark):
     assert repeated_lines.repeated_lines(pages(spark, rows).limit(0)).count() == 0
 
 
-def test_slots_and_filler():
-    found = [(k, n, q) for k, n, q in residue.slots("a {{ name }} `{{name}}` {x, y} [insert date here] %%a1%% __USER__")]
-    assert [n for _, n, q in found if not q] == ["name", "date", "a1", "USER"]
-    assert residue.is_filler("Lorem ipsum dolor sit amet") and not residue.is_filler('the sample text "lorem ipsum" is old and known to printers')
+def test_slots_are_induced():
+    frames = lambda t: [(f, w, q) for f, w, q in residue.pieces(t)]
+    assert frames("a {{ name }} `{{name}}` [insert date here]")[:3] == [("{{ \t }}", "name", False), ("{{ \t }}", "name", True), ("[ \t date here ]", "insert", False)]
+    assert frames("__USER_NAME__ &lt;x&gt; <%= y %> **bold** [text](url)") == [("__ \t __", "USER_NAME", False), ("&lt; \t &gt;", "x", False), ("<%= \t %>", "y", False)]
+    counts = [(f, w, 5) for f in ("{{ \t }}", "%% \t %%", "[ insert \t here ]") for w in ("name", "date", "place")] + [("( \t )", f"w{i}", 2) for i in range(40)] + [("[ \t ]", "no", 90), ("__ \t __", "USER", 4), ("__ \t __", "SITE_URL", 4)]
+    slots, names = residue.variables(counts)
+    assert slots == {"{{ \t }}", "%% \t %%", "[ insert \t here ]", "__ \t __"} and names == {"name", "date", "place", "user", "site_url"}
+    model, lines = residue.ResidueModel(slots, names, {}, set()), line_model.LineModel({}, -1.0)
+    found = lambda t: model.residue("markdown_body", "http://h.example/", t, lines)
+    assert found("The meeting is on {{ date }} at noon.") and found("Come on [DATE] to [PLACE].") and found("Dear __USER__,") and found("Name: ........\nAge: 7") and found("Signed by ______ today")
+    assert not found("Write `{{date}}` for the date.") and not found("He came [no] and went [date].") and not found("______\n\nA rule above.") and not found("Wait..... what?")
+
+
+def test_whole_page_templates_and_filler(spark):
+    usual = [f"The office of place number {i} lends its river meter to all farmers who ask for it in time and pay the fee of the year at the bank." for i in range(60)]
+    errors = [f"404 not found. Request {i} failed." for i in range(8)] + ["NOT  FOUND. The request failed.", "Lorem ipsum dolor amet."] * 2
+    long_filler = "Ipsum lorem amet dolor. Dolor lorem amet ipsum. " * 30
+    rows = [(f"http://h{i % 7}.example/{i}", None, t) for i, t in enumerate([*usual, *errors, long_filler])]
+    df = pages(spark, rows)
+    lines = line_model.LineModel({}, -1.0)
+    model = residue.fit(df, lines)
+    got = {r.url for r in residue.residue_fields(df, model, lines).collect()}
+    assert got == {u for u, _, t in rows if t not in usual}
+    assert not model.residue("markdown_body", "http://h.example/", "A human error was noted by the office of the place.", lines)
+    one_line = "404 not found. Request 99 failed. " + "[x](http://h.example/" + "x" * 500 + ")"  # no line is too long to be looked at
+    assert model.residue("markdown_body", "http://h.example/", one_line, lines)
+    assert residue.residue_fields(df.limit(0), model, lines).count() == 0
 
 
 def brute_cut(source, sink, edges):
@@ -194,15 +217,14 @@ def test_sentences():
 
 def test_residue_beside_long_furniture():
     model = line_model.LineModel({w: 4.0 for w in ("home", "notice", "services", "contact")}, -2.0)
-    found = residue.ResidueModel(set(), {})
+    odds = {w: 2.0 for w in ("forbidden", "permission", "folder", "lorem", "ipsum", "dolor")} | {w: -3.0 for w in ("river", "office", "lends", "its")}
+    found = residue.ResidueModel(set(), set(), odds, set())
     menu = " | ".join(["Home", "Notice", "Services", "Contact"] * 10)
     assert 300 < len(menu) < 400
-    assert found.residue("markdown_body", "http://h.example/1", menu + "\n\n# 403 Forbidden\n\nYou have no permission to open this folder.", model)
-    assert not found.residue("markdown_body", "http://h.example/2", menu + "\n\n" + "The river office lends its meters. " * 20, model)
-    filler = "Lorem ipsum dolor sit amet consectetur adipiscing elit. " * 8
-    assert found.residue("markdown_body", "http://h.example/3", menu + "\n\n" + filler, model)
-    links = "See also [the error list](http://h.example/" + "x" * 300 + ")"
-    assert residue.core_words("markdown_body", "http://h.example/4", links, model) is not None
+    for n in (1, 20):
+        assert found.residue("markdown_body", "http://h.example/1", menu * n + "\n\n# 403 Forbidden\n\nYou have no permission to open this folder.", model)
+        assert not found.residue("markdown_body", "http://h.example/2", menu + "\n\n" + "The river office lends its meters. " * n, model)
+        assert found.residue("markdown_body", "http://h.example/3", menu + "\n\n" + "Lorem ipsum dolor. " * n, model)
 
 
 def test_own_title_is_found_on_any_line():
