@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapla.session import table
+from shapla.session import broadcast_if, materialize, table
 
 # Month names, words that introduce a person, words around a title.
 MONTHS = (
@@ -102,6 +102,19 @@ def bodies(spark: SparkSession, d: str, tables: list[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).where("url IS NOT NULL AND text <> ''")
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """`pages` without repeated (tbl, url, text): only rows that do repeat are shuffled, found by their hashes.
+
+    Of repeats that differ in other columns the one with the greatest title stays.
+    """
+    own = [F.col(c) for c in ("tbl", "url")] + [F.xxhash64("text").alias("tid"), F.length("text").alias("size")]
+    repeated = materialize(pages.select(*own).groupBy("tbl", "url", "tid", "size").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tbl", "url", "tid", "size", F.lit(True).alias("again")))
+    marked = pages.withColumns({"tid": F.xxhash64("text"), "size": F.length("text")}).join(broadcast_if(repeated, repeated.count(), 160), ["tbl", "url", "tid", "size"], "left").drop("tid", "size")
+    rest = [c for c in pages.columns if c not in ("tbl", "url", "text")]
+    one = marked.where("again").groupBy("tbl", "url", "text").agg(F.max(F.struct(*rest)).alias("_r")).select(*[F.col(c) if c in ("tbl", "url", "text") else F.col(f"_r.{c}").alias(c) for c in pages.columns]) if rest else marked.where("again").select(*pages.columns).distinct()
+    return marked.where("again IS NULL").select(*pages.columns).unionByName(one)
+
+
 def rows_of(batch: pa.RecordBatch, *names: str) -> zip:
     return zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
 

@@ -26,6 +26,37 @@ def test_repeated_lines(spark):
     got = {(r.url, r.line_no) for r in repeated_lines.repeated_lines(pages(spark, rows).where("url IS NOT NULL AND text <> ''")).collect()}
     assert got == {(f"http://h.example/{i}", 2) for i in range(8)} | {(f"http://h.example/{i}", 3) for i in range(8)} | {("https://h.example/0", 1)}
     assert repeated_lines.repeated_lines(pages(spark, rows).limit(0)).count() == 0
+    whole = pages(spark, rows).where("url IS NOT NULL AND text <> ''")
+    want = {(r.url, "\n".join(x for i, x in enumerate(r.text.split("\n"), 1) if (r.url, i) not in got)) for r in whole.collect()}
+    assert sorted((r.url, r.text) for r in repeated_lines.cleaned(whole).collect()) == sorted(want)
+    old, repeated_lines.BROADCAST_BYTES = repeated_lines.BROADCAST_BYTES, 0  # salted joins
+    try:
+        assert {(r.url, r.line_no) for r in repeated_lines.repeated_lines(whole).collect()} == got
+        assert sorted((r.url, r.text) for r in repeated_lines.cleaned(whole).collect()) == sorted(want)
+    finally:
+        repeated_lines.BROADCAST_BYTES = old
+
+
+def test_summary_excludes_in_a_large_source(spark):
+    n = 1_200_000  # distinct lines of one source, two a page, besides one that stands on all pages
+    keys = spark.range(n // 2).selectExpr("concat('u', id) AS url", "7L AS source", "array(xxhash64(id, 1), xxhash64(id, 2), 5L) AS keys")
+    lines = repeated_lines.in_cells(keys)
+    kept = repeated_lines.semi_join(lines, repeated_lines.heavy_cells(lines), ["source", "cell"], 48, "u").where("key <> 5").count()
+    assert kept < 0.15 * n  # with 65,536 counters all of them would stay
+    assert [tuple(r) for r in repeated_lines.confirmed(keys).collect()] == [(5, n // 2)]
+
+
+def test_line_keys_are_alike_at_any_length():
+    for n in (10, 300):
+        tail = " word" * n
+        assert common.line_key(f"Notice{tail}, author Saar Nolujo, 3 May 2021", []) == common.line_key(f"Notice{tail}, author Ab Cd, 4 May 2020", []) != ""
+        assert common.titles_of(None, ["A Notice of Weavers", f"x{tail}: A Notice of Weavers"]) == ["A Notice of Weavers"]
+
+
+def test_a_byline_is_a_feature_not_a_rule():
+    model = line_model.LineModel({"\tbyline0": 4.0, "\tbyline1": -1.0}, -1.0)
+    page = "# T\n\nThe author Rahim Uddin, born in 1950 in Pabna.\n\nPublished by Rahim Uddin, 3 May 2021"
+    assert main_content.furniture(page, "http://h.example/", None, set(), model) == [5]
 
 
 def test_slots_are_induced():
@@ -78,6 +109,25 @@ def test_min_cut_is_minimal():
         assert abs(cost - brute_cut(source, sink, edges)) < 1e-9
 
 
+def test_long_cuts_are_minimal_and_linear():
+    rng = np.random.default_rng(4)
+    old = main_content.FLOW_NODES
+    for n in (3, 9, 9, 9, 400):
+        u = np.where(np.arange(n) % 2, 1.0, -1.0) * rng.random(n)
+        source, sink = np.maximum(u, 0).tolist(), np.maximum(-u, 0).tolist()
+        edges = [(i - 1, i, 1.5) for i in range(1, n)] + [(i - i % 5, i, 2.0) for i in range(n) if i % 5 > 1]
+        value = lambda s: sum(source[i] for i in range(n) if not s[i]) + sum(sink[i] for i in range(n) if s[i]) + sum(c for a, b, c in edges if s[a] != s[b])  # noqa: E731, B023
+        try:
+            main_content.FLOW_NODES = 10_000
+            flow = value(main_content.max_flow_side(source, sink, edges))
+            main_content.FLOW_NODES = 0
+            assert abs(value(main_content.max_flow_side(source, sink, edges)) - flow) < 1e-9
+        finally:
+            main_content.FLOW_NODES = old
+        if n < 10:
+            assert abs(flow - brute_cut(source, sink, edges)) < 1e-9
+
+
 def test_related_block_goes_with_its_caption():
     model = line_model.LineModel({"related": 4.0}, -0.5)
     text = "# T\n\nlong entry text stands here. It goes on for long.\n\nRelated\n* one two\n- three four\n\nmore entry text. It ends here, at last."
