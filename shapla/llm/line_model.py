@@ -91,13 +91,15 @@ def each_line(text: str, host: str):
             rank += 1
 
 
-def train(labelled: list[tuple[list[str], int]], epochs: int = 6, rate: float = 0.3, decay: float = 1e-5) -> LineModel:
-    """Logistic regression by Adagrad over binary features, in numpy; deterministic."""
-    names = sorted({f for feats, _ in labelled for f in feats})
+def train(labelled: list[tuple[list[str], int]], epochs: int = 6, rate: float = 0.3, decay: float = 1e-5, prior: dict[str, float] | None = None) -> LineModel:
+    """Logistic regression by Adagrad over binary features, in numpy; deterministic. `prior` holds the weights it starts from."""
+    prior = prior or {}
+    names = sorted({f for feats, _ in labelled for f in feats} | set(prior))
     index = {f: i for i, f in enumerate(names)}
     rows = [np.array([index[f] for f in set(feats)], np.int64) for feats, _ in labelled]
     y = np.array([v for _, v in labelled], np.float64)
-    w, g, bias, gb = np.zeros(len(names)), np.full(len(names), 1e-2), 0.0, 1e-2
+    first = np.array([prior.get(f, 0.0) for f in names])
+    w, g, bias, gb = first.copy(), np.full(len(names), 1e-2), 0.0, 1e-2
     order = np.argsort([hash64(str(i)) for i in range(len(rows))])
     for _ in range(epochs):
         for at in range(0, len(order), 256):
@@ -108,7 +110,7 @@ def train(labelled: list[tuple[list[str], int]], epochs: int = 6, rate: float =
             err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[ids]
             grad = np.bincount(cols, err[of], len(names))
             hit = np.unique(cols)
-            grad = grad[hit] / 16 + decay * w[hit]
+            grad = grad[hit] / 16 + decay * (w[hit] - first[hit])
             g[hit] += grad**2
             w[hit] -= rate * grad / np.sqrt(g[hit])
             db = err.sum() / 16

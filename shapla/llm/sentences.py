@@ -1,11 +1,11 @@
 """Problem 10: sentence boundaries across languages and scripts.
 
 A text falls into headings, list items and running blocks. In a block the candidates are the sentence marks of all
-scripts outside quotations and brackets, the ends of quotations, and the spaces of Thai. Marks that scripts use for
-nothing else are boundaries; the others (the period above all) are classified by a maximum-entropy model of the
-neighbouring tokens, their case, length, digits and script. It is trained on reliable boundaries, the ends of
-paragraphs joined to the starts of the next ones, and on reliable non-boundaries, periods before a small letter or digit.
-How often each dotted token ends a paragraph is counted over all documents.
+scripts outside quotations and brackets, the ends of quotations and brackets, and the spaces of Thai. Each is classified
+by a maximum-entropy model of the neighbouring tokens, their case, length, digits and script, with weights of its own for each
+kind of candidate. It is trained on reliable boundaries, the ends of paragraphs joined to the starts of the next ones, and on
+reliable non-boundaries, marks before a small letter or digit; what the task defines (a word of saying carries a quotation on, a
+numeral keeps a Thai space, a danda ends) are the weights it starts from. Abbreviations are counted over all documents.
 """
 
 from __future__ import annotations
@@ -38,9 +38,16 @@ LIST = re.compile(r"[ \t]*(?:[-*+•–▪◦]|\(?\d{1,3}[.)]|\(?[a-zA-Zক-হ]
 HEADING = re.compile(r"[ \t]*(?:#{1,6}\s|\*\*.+\*\*\s*$|__.+__\s*$)")
 EVENT = re.compile(r"[.…?!।॥۔؟。！？။]+|[“”‘’«»「」『』()\[\]（）\"']|(?<=[฀-๿])[ \t ]+(?=[^\s])|(?<=[^\s])[ \t ]+(?=[฀-๿])")
 PREV = re.compile(r"([^\W_][\wঀ-৿.'’ऀ-ॣ]*)$")
-WORDS = re.compile(r"(?<![\wऀ-෿])([^\W\d_](?:[\wऀ-෿]|\.(?=\w))*)(\.?)")
-DOTTED = r"([\p{L}\p{M}][\p{L}\p{M}.]{0,11})\.(?=\s)"
-FINAL = r"([\p{L}\p{M}][\p{L}\p{M}.]{0,11})\.(?=\s*(?:\n[ \t]*\n|$))"
+COUNTED = re.compile(r"(?<![\wऀ-෿])([^\W\d_](?:[\wऀ-෿]|\.(?=\w)){0,11})(?![\wऀ-෿])(\.(?=\s))?")
+LAST = re.compile(r"(?<![\wऀ-෿])([^\W\d_](?:[\wऀ-෿]|\.(?=\w)){0,11})\.\s*$")
+PARAGRAPHS = re.compile(r"\n[ \t]*\n")
+NEXT = re.compile(r"[\wऀ-෿’']+")
+#: Abbreviations that are kept at most, the most frequent first; a token feature counts from so many training instances on.
+MOST_ABBREVIATIONS, LEAST_SEEN = 20_000, 20
+#: Kinds of candidates: sure marks, periods, question marks, ends of quotations and of brackets, Thai spaces.
+KINDS = "spqubt"
+# The weights the training starts from: what the task defines.
+PRIOR = {"s\tk": 6.0, "q\tk": 4.0, "u\tk": 5.0, "u\tcarry": -11.0, "b\tk": 6.0, "t\tk": 6.0, "t\tnumeral": -14.0, "q\tnlower": -9.0}
 
 
 def script_of(ch: str) -> str:
@@ -50,39 +57,77 @@ def script_of(ch: str) -> str:
     return "%x" % (o >> 7)
 
 
-def candidate_features(text: str, start: int, end: int, never: set[str], following: str | None = None) -> list[str]:
-    """Features of the mark text[start:end]: the token before, what follows, and how they look together."""
-    before = PREV.search(text[max(0, start - 24) : start].rstrip())
+def carries_on(rest: str) -> bool:
+    """Whether a conjunction, a word of saying or a small letter follows a quotation."""
+    rest = rest.lstrip(" \t\n\xa0,،，—–-")
+    if not rest:
+        return False
+    word = NEXT.match(rest)
+    w = word.group(0) if word else ""
+    return w.lower() in CARRY or rest[0].islower() or rest[0] in CARRY_CJK
+
+
+def candidate_features(text: str, start: int, end: int, never: set[str], following: str | None = None, kind: str = "p") -> list[str]:
+    """Features of the candidate text[start:end]: the tokens around it and how they look; `following` may stand for what follows."""
+    head = text[max(0, start - 24) : start].rstrip()
+    before = PREV.search(head)
     token = before.group(1) if before else ""
-    after = text[end : end + 24] if following is None else " " + following
-    nxt = after.lstrip(" \t \n" + CLOSERS + "“‘«「『([")
+    after = PARAGRAPHS.split(text[end : end + 24], maxsplit=1)[0] if following is None else " " + following[:24]
+    nxt = after.lstrip(" \t\xa0\n" + CLOSERS + "“‘«「『([")
     ch = nxt[:1]
-    kind = "end" if not ch else "upper" if ch.isupper() else "lower" if ch.islower() else "digit" if ch.isdigit() else "letter" if ch.isalpha() else "other"
+    shape = "end" if not ch else "upper" if ch.isupper() else "lower" if ch.islower() else "digit" if ch.isdigit() else "letter" if ch.isalpha() else "other"
     gap = "gap" if after[:1].isspace() or not after else "none"
     mark = text[start:end]
     size = min(len(token), 6)
     rare = "never" if token in never else "some"
     digit = "num" if token[-1:].isdigit() else "word"
     script = script_of(token[-1]) if token else "none"
-    m = "ellipsis" if "…" in mark or ".." in mark else mark[0]
-    return ["\tm" + m, "\tn" + kind, "\tg" + gap, "\tr" + rare, "\td" + digit, "\ts" + script, "\tl%d" % size, "\tm%s%s%s" % (m, kind, gap), "\tr%s%s" % (rare, kind), "\ts%s%s" % (script, m), "\tdot%d" % ("." in token)]
+    m = "ellipsis" if "…" in mark or ".." in mark else mark[:1]
+    word = NEXT.match(nxt)
+    out = ["\tk", "\tm" + m, "\tn" + shape, "\tg" + gap, "\tr" + rare, "\td" + digit, "\ts" + script, "\tl%d" % size, "\tm%s%s%s" % (m, shape, gap), "\tr%s%s" % (rare, shape), "\ts%s%s" % (script, m), "\tdot%d" % ("." in token)]
+    if token:
+        out.append("\t<" + token[-12:].lower())
+    if word:
+        out.append("\t>" + word.group(0)[:12].lower())
+    if kind == "u" and carries_on(after):
+        out.append("\tcarry")
+    if kind == "t" and (head[-1:].isdigit() or ch.isdigit()):
+        out.append("\tnumeral")
+    return [kind + f for f in out]
+
+
+def kind_of_end(p: str) -> tuple[str, int, int] | None:
+    """The kind and place of the mark that ends a paragraph, if it has one."""
+    at = len(p)
+    while at and p[at - 1] in CLOSERS:
+        at -= 1
+    if at and at < len(p) and p[at - 1] in ".?!" + SURE and p[-1] in "”’»」』\"":
+        return "u", len(p) - 1, len(p)
+    x = p[-1]
+    if x in SURE:
+        return "s", len(p) - 1, len(p)
+    if x == "." and not p.endswith(".."):
+        return "p", len(p) - 1, len(p)
+    return ("q", len(p) - 1, len(p)) if x in "?!" else ("t", len(p), len(p)) if "฀" <= x <= "๿" else None
 
 
 def training_instances(text: str, never: set[str]) -> list[tuple[list[str], int]]:
-    """Reliable boundaries: paragraph ends put before the next paragraph; non-boundaries: before a small letter or digit."""
+    """Reliable boundaries: paragraph ends put before the next paragraph; non-boundaries: marks before a small letter or digit."""
     out = []
-    paragraphs = [p.strip() for p in re.split(r"\n[ \t]*\n", text)]
+    paragraphs = [p.strip() for p in PARAGRAPHS.split(text)]
     for p, q in zip(paragraphs, paragraphs[1:], strict=False):
-        if p and q and p[-1] in ".?!" and len(p) > 40 and not p.endswith("..") and q[0].isalpha():
-            out.append((candidate_features(p, len(p) - 1, len(p), never, q), 1))
-    for m in re.finditer(r"[.…]+", text):
+        if p and q and len(p) > 40 and q[0].isalpha() and (found := kind_of_end(p)):
+            kind, a, b = found
+            out.append((candidate_features(p, a, b, never, q, kind), 1))
+    for m in re.finditer(r"[.…]+|[?!]+|(?<=[.?!।])[”»\"]", text):
         a, b = m.span()
+        x = text[a]
         nxt = text[b : b + 12].lstrip(" \n")
         token = PREV.search(text[max(0, a - 24) : a])
-        if b - a == 1 and token and token.group(1) in never and text[b : b + 1].isspace():
-            out.append((candidate_features(text, a, b, never), 0))
-        elif nxt and a > 0 and (nxt[0].islower() or nxt[0].isdigit()) and "\n\n" not in text[b : b + 12] and text[max(0, a - 24) : a].rsplit("\n", 1)[-1].strip(" 0123456789০১২৩৪৫৬৭৮৯"):
+        if x == "." and b - a == 1 and token and token.group(1) in never and text[b : b + 1].isspace():
             out.append((candidate_features(text, a, b, never), 0))
+        elif nxt and a > 0 and (nxt[0].islower() or (nxt[0].isdigit() and x in ".…")) and "\n\n" not in text[b : b + 12] and text[max(0, a - 24) : a].rsplit("\n", 1)[-1].strip(" 0123456789০১২৩৪৫৬৭৮৯"):
+            out.append((candidate_features(text, a, b, never, kind="p" if x in ".…" else "q" if x in "?!" else "u"), 0))
     return out
 
 
@@ -91,21 +136,15 @@ class Splitter:
         self.model, self.never = model, never
         self.cache: dict[tuple, bool] = {}
 
-    def is_end(self, text: str, a: int, b: int) -> bool:
-        f = candidate_features(text, a, b, self.never)
-        key = tuple(f)
-        if key not in self.cache:
-            self.cache[key] = self.model.score(f) > 0
-        return self.cache[key]
-
-    def carries_on(self, rest: str) -> bool:
-        """Whether what follows a quotation belongs to the same sentence."""
-        rest = rest.lstrip(" \t\n ,،，—–-")
-        if not rest:
-            return False
-        word = re.match(r"[\wऀ-෿’']+", rest)
-        w = word.group(0) if word else ""
-        return w.lower() in CARRY or rest[0].islower() or rest[0] in CARRY_CJK
+    def is_end(self, text: str, a: int, b: int, kind: str = "p") -> bool:
+        known = self.model.weights
+        key = tuple([x for x in candidate_features(text, a, b, self.never, kind=kind) if x in known])
+        found = self.cache.get(key)
+        if found is None:
+            if len(self.cache) > 200_000:
+                self.cache.clear()
+            found = self.cache[key] = self.model.score(list(key)) > 0
+        return found
 
     def block(self, text: str, lo: int, hi: int) -> list[int]:
         """Ends of the sentences of the running text[lo:hi]."""
@@ -132,7 +171,7 @@ class Splitter:
             x = text[a]
             if x in " \t ":
                 left, right = text[a - 1], text[b]
-                if not stack and "฀" <= left <= "๿" and "฀" <= right <= "๿" and not left.isdigit() and not right.isdigit():
+                if not stack and ("฀" <= left <= "๿" or left.isdigit()) and ("฀" <= right <= "๿" or right.isdigit()) and self.is_end(text, a, b, "t"):
                     add(a)
                 continue
             if x in OPEN or x in "”’»」』)]）":
@@ -147,9 +186,9 @@ class Splitter:
                     if after[:1] and after[0] in ".?!" + SURE:
                         continue
                     if x in ")]）":
-                        if not text[sentence:opened].strip(" \t\n *_"):
+                        if not text[sentence:opened].strip(" \t\n\xa0*_") and self.is_end(text, a, b, "b"):
                             add(close(b))
-                    elif not self.carries_on(text[b : min(hi, b + 40)]):
+                    elif self.is_end(text, a, b, "u"):
                         add(close(b))
                         skip = begin
                 elif x in OPEN:
@@ -167,7 +206,8 @@ class Splitter:
             if mark[0] in "." and mark != "." and set(mark) <= {".", "…"} or mark[0] == "…":
                 continue
             if any(c in SURE for c in mark):
-                add(close(b))
+                if self.is_end(text, a, b, "s"):
+                    add(close(b))
             elif mark == ".":
                 nxt = text[b] if b < hi else " "
                 if nxt.isspace() or nxt in CLOSERS or (nxt.isupper() and a > 2 and text[a - 1].islower() and text[a - 2].islower()):
@@ -176,8 +216,7 @@ class Splitter:
             elif set(mark) & set("?!"):
                 nxt = text[b : b + 1]
                 if not nxt or nxt.isspace() or nxt in CLOSERS or not nxt.isascii() or nxt.isupper():
-                    rest = text[b : b + 6].lstrip()
-                    if not (rest[:1].islower() and "latin" == script_of(rest[:1])) or self.is_end(text, a, b):
+                    if self.is_end(text, a, b, "q"):
                         add(close(b))
             skip = max(skip, begin)
         tail = len(text[lo:hi].rstrip()) + lo
@@ -220,25 +259,51 @@ class Splitter:
         return out
 
 
+def abbreviations(texts: DataFrame) -> set[str]:
+    """Tokens that hardly stand without a period and hardly end a paragraph, counted over all texts in one pass."""
+    schema = pa.schema([("t", pa.string()), ("dotted", pa.int64()), ("final", pa.int64()), ("bare", pa.int64())])
+
+    def run(batches):
+        dotted, final, bare = Counter(), Counter(), Counter()
+
+        def rows():
+            for t in {*dotted, *bare}:
+                yield t, dotted[t], final[t], bare[t]
+            for c in (dotted, final, bare):
+                c.clear()
+
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                for t, dot in COUNTED.findall(text):
+                    (dotted if dot else bare)[t] += 1
+                if "." in text:
+                    for p in PARAGRAPHS.split(text):
+                        if p.rstrip().endswith(".") and (m := LAST.search(p[-40:])):
+                            final[m.group(1)] += 1
+                            if not p[-1:].isspace():  # no space follows the last period
+                                dotted[m.group(1)] += 1
+                                bare[m.group(1)] -= 1
+            if len(bare) > 200_000:  # partial counts merge downstream
+                yield from in_batches(rows(), schema, 65536)
+        yield from in_batches(rows(), schema, 65536)
+
+    counts = texts.select("text").mapInArrow(run, "t string, dotted long, final long, bare long").groupBy("t").agg(F.sum("dotted").alias("d"), F.sum("final").alias("f"), F.sum("bare").alias("b"))
+    rare = counts.where("d >= 5 AND f < 0.004 * d AND d > 4 * b")
+    return {r.t for r in rare.orderBy(F.desc("d"), "t").limit(MOST_ABBREVIATIONS).collect()}
+
+
 def fit(documents: DataFrame, max_docs: int = TRAIN_DOCS) -> Splitter:
-    """Counts dotted tokens over all documents and trains the model on a bounded sample of them."""
+    """Counts abbreviations over all documents and trains the model on a bounded sample of them."""
     texts = documents.select("doc_id", "text").where("text <> ''")
-    dotted = texts.select(F.explode(F.regexp_extract_all("text", F.lit(DOTTED), F.lit(1))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    final = texts.select(F.explode(F.regexp_extract_all("text", F.lit(FINAL), F.lit(1))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("f"))
-    rare = dotted.where("n >= 5").join(final, "t", "left").where("coalesce(f, 0) < 0.004 * n")
-    seldom = {r.t: r.n for r in rare.select("t", "n").collect()}  # dotted tokens that end no paragraph
-    n = documents.count()
-    every = max(1, -(-n // max_docs))
-    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).orderBy("doc_id").collect()  # bounded by max_docs
-    bare, dots = Counter(), Counter()
-    for r in sample:
-        for m in WORDS.finditer(r.text):
-            (dots if m.group(2) else bare)[m.group(1)] += 1
-    # an abbreviation hardly ever stands without its period
-    never = {t for t, k in seldom.items() if (dots[t] > 4 * bare[t] if dots[t] + bare[t] else k >= 30)}
+    never = abbreviations(texts)
+    every = max(1, -(-texts.count() // max_docs))
+    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).orderBy("doc_id").collect()  # about max_docs
     labelled = [x for r in sample for x in training_instances(r.text, never)]
-    model = train(labelled) if labelled else LineModel({"\tnupper": 1.0, "\trnever": -4.0, "\tnlower": -4.0}, 0.5)
-    return Splitter(model, never)
+    seen = Counter(f for feats, _ in labelled for f in feats if f[1:3] in ("\t<", "\t>"))
+    labelled = [([f for f in feats if f[1:3] not in ("\t<", "\t>") or seen[f] >= LEAST_SEEN], y) for feats, y in labelled]
+    if not any(feats[0][0] == "p" for feats, _ in labelled):
+        return Splitter(LineModel(PRIOR | {"p\tnupper": 1.0, "p\trnever": -4.0, "p\tnlower": -4.0}, 0.5), never)
+    return Splitter(train(labelled, prior=PRIOR), never)
 
 
 def sentence_ends(documents: DataFrame, splitter: Splitter) -> DataFrame:

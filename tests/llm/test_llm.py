@@ -254,7 +254,7 @@ def test_leaks():
 
 
 def test_sentences():
-    model = line_model.LineModel({"\tnupper": 2.0, "\trnever": -8.0, "\tnlower": -8.0, "\tndigit": -8.0}, 0.0)
+    model = line_model.LineModel(sentences.PRIOR | {"p\tnupper": 2.0, "p\trnever": -8.0, "p\tnlower": -8.0, "p\tndigit": -8.0}, 0.0)
     s = sentences.Splitter(model, {"Dr", "No"})
     cut = lambda t: [t[a:b].strip() for a, b in zip([0, *s.ends(t)], s.ends(t), strict=False)]
     assert cut("We saw Dr. Bemi at No. 7 today. It cost 3.5 taka... or more.") == ["We saw Dr. Bemi at No. 7 today.", "It cost 3.5 taka... or more."]
