@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -80,15 +82,22 @@ def page_lines(text: str, host: str) -> list[tuple[int, str, list[str]]]:
 
 def each_line(text: str, host: str):
     """The rows of page_lines, made as they are asked for."""
+    for no, line, feats in lazy_lines(text, host):
+        yield no, line, feats()
+
+
+def lazy_lines(text: str, host: str) -> list[tuple[int, str, Callable[[], list[str]]]]:
+    """page_lines with functions that make the features, for callers that need those of few lines."""
     lines = text.split("\n")
     full = [bool(x.strip(" \t\r-*_=")) for x in lines]
-    total, rank = sum(full), 0
+    total, rank, out = sum(full), 0, []
     for i, line in enumerate(lines):
         if full[i]:
             before = i == 0 or not full[i - 1]
             after = i + 1 == len(lines) or not full[i + 1]
-            yield i + 1, line, line_features(line, host, before, after, rank, total - rank - 1)
+            out.append((i + 1, line, partial(line_features, line, host, before, after, rank, total - rank - 1)))
             rank += 1
+    return out
 
 
 def train(labelled: list[tuple[list[str], int]], epochs: int = 6, rate: float = 0.3, decay: float = 1e-5, prior: dict[str, float] | None = None) -> LineModel:
