@@ -1,10 +1,11 @@
-"""Problem 9: evaluation items in training text, by the CGK embedding and bit-sampling LSH over windows of words.
+"""Problem 9: evaluation items in training text, by the CGK embedding and bit-sampling LSH over item-sized windows.
 
 From every word of a text a random walk reads a window: at step j it puts out the word under the pointer, and a hash of
 (walk, j, word) decides whether the pointer moves on. Windows at a small edit distance come out at a small Hamming
-distance, so equal samples of a few output positions find them. Several walks with samples of several lengths make
-one hash table each over all windows of all items; texts look their windows up, and each hit is verified by an exact
-alignment of the item with the words around it.
+distance, so equal samples of a few output positions find them. The windows' length follows the items' length, and walks are
+repeated until leaks of half an item, with one word in EDIT_EVERY changed, are found at the target recall: this is measured on the
+items themselves. Texts look their windows up in hash tables over all windows of the items, and each hit is verified by an exact
+alignment of the item with the words around it. Items of up to SHORT words are looked up by plain windows of half their words.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ from pyspark.sql import functions as F
 
 from shapla.llm.common import in_batches
 
-#: (steps, sampled output positions) of each walk; a walk of s steps reads about s / 2 words.
-WALKS = [(10, 5), (10, 5), (12, 6), (12, 6), (14, 6), (14, 6)]
-#: Items are matched in blocks of so many, so that tables stay small whatever the number of items.
-ITEM_BLOCK = 20_000
+#: Words that a window reads, by the least number of an item's words.
+WINDOWS = [(4, 2), (8, 3), (16, 4), (32, 6), (64, 8)]
+SHORT = 3
+#: Recall of candidates on leaks of half an item with one word in so many changed, and the most walks a length gets for it.
+TARGET, EDIT_EVERY, MOST_WALKS = 0.995, 8, 8
+#: Items are matched in blocks of about so many words, and so many blocks in one scan, so that tables stay small.
+BLOCK_WORDS, BLOCKS_TOGETHER = 300_000, 16
 #: Share of an item's words that counts as a leak; a changed word between right ones counts as held.
 SHARE = 0.5
 #: Texts are read together up to about so many words.
@@ -70,64 +74,100 @@ class Words:
         return np.array(out, np.uint64)
 
 
-def samples(codes: np.ndarray, walks: list[tuple[int, int]]):
-    """For each walk, the sampled output of the window that starts at each word; windows end in zeros at the end."""
-    n = len(codes)
-    longest = max(s for s, _ in walks)
-    padded = np.concatenate([codes, np.zeros(longest + 1, np.uint64)])
-    rng = np.random.default_rng(7)
-    for steps, k in walks:
-        moves = rng.integers(1 << 32, 1 << 63, steps, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        at = {0, *sorted(rng.choice(np.arange(1, steps), k - 1, replace=False).tolist())}
-        at.add(steps - 1)
-        pointer = np.arange(n)
-        sample = np.zeros(n, np.uint64)
-        for j in range(steps):
+class Walk:
+    """One random walk: reads windows of about `words` words and samples as many of its outputs; `plain` ones read words in a row."""
+
+    def __init__(self, words: int, number: int, plain: bool = False):
+        rng = np.random.default_rng([7, words, number])
+        self.words, self.plain = words, plain
+        self.steps = words if plain else 2 * words
+        self.moves = rng.integers(1 << 32, 1 << 63, self.steps, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        inner = rng.choice(np.arange(1, self.steps - 1), max(0, words - 2), replace=False).tolist() if self.steps > 2 and not plain else []
+        self.at = set(range(self.steps)) if plain else {0, self.steps - 1, *inner}
+
+    def samples(self, codes: np.ndarray) -> np.ndarray:
+        """The sampled output of the window that starts at each word; windows end in zeros at the end."""
+        padded = np.concatenate([codes, np.zeros(self.steps + 1, np.uint64)])
+        pointer = np.arange(len(codes))
+        sample = np.full(len(codes), self.words, np.uint64)
+        for j in range(self.steps):
             here = padded[pointer]
-            if j in at:
+            if j in self.at:
                 sample = sample * MULTIPLIER + here + np.uint64(j)
                 sample ^= sample >> np.uint64(29)
-            pointer += ((here * moves[j]) >> np.uint64(63)).astype(np.int64)
-        yield sample
+            pointer += 1 if self.plain else ((here * self.moves[j]) >> np.uint64(63)).astype(np.int64)
+        return sample
+
+
+def window_of(n: int) -> int:
+    """The window length of an item of `n` words; 0 for a short one."""
+    return max((w for least, w in WINDOWS if n >= least), default=0)
+
+
+def edited(codes: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Half of an item from a random word on, with one word in EDIT_EVERY changed, dropped or added to."""
+    half = -(-len(codes) // 2)
+    at = int(rng.integers(0, len(codes) - half + 1))
+    out = []
+    for c in codes[at : at + half].tolist():
+        kind = int(rng.integers(0, 3 * EDIT_EVERY))
+        if kind != 0:  # 0: dropped, 1: changed, 2: another word comes before it
+            out += [int(rng.integers(1 << 62)), c] if kind == 2 else [int(rng.integers(1 << 62))] if kind == 1 else [c]
+    return np.array(out, np.uint64)
+
+
+def walks_for(items: list[np.ndarray], window: int, target: float = TARGET, sample: int = 400) -> list[Walk]:
+    """As many walks as find the target share of edited halves of the items; at most MOST_WALKS."""
+    rng = np.random.default_rng(window)
+    probes = [(items[i], edited(items[i], rng)) for i in rng.integers(0, len(items), sample).tolist()]
+    missed, walks = list(range(len(probes))), []
+    while len(walks) < MOST_WALKS and (not walks or len(missed) > (1 - target) * len(probes)):
+        walk = Walk(window, len(walks))
+        walks.append(walk)
+        missed = [k for k in missed if not np.isin(walk.samples(probes[k][1]), walk.samples(probes[k][0])).any()]
+    return walks
 
 
 class ItemIndex:
-    """Hash tables over all windows of all item fields."""
+    """Hash tables over all windows of a block of item fields, for each walk those of the items of its window length."""
 
     BITS = 22
 
-    def __init__(self, fields: list[tuple[int, str]], words: Words, walks: list[tuple[int, int]] = WALKS):
-        self.walks = walks
-        self.item = [i for i, _ in fields]
-        self.codes = [words(t) for _, t in fields]
-        keep = [k for k, c in enumerate(self.codes) if len(c)]
-        tables: list[list[np.ndarray]] = [[] for _ in walks]
-        owner, place = [], []
-        for k in keep:
-            c = self.codes[k]
-            for w, s in enumerate(samples(c, walks)):
-                tables[w].append(s)
-            owner.append(np.full(len(c), k))
-            place.append(np.arange(len(c)))
-        self.owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        self.place = np.concatenate(place) if place else np.zeros(0, np.int64)
-        self.lengths = np.array([len(c) for c in self.codes], np.int64)
-        self.padded = np.zeros((len(self.codes), int(self.lengths.max(initial=1))), np.uint64)
-        for k, c in enumerate(self.codes):
-            self.padded[k, : len(c)] = c
-        self.tables = []
-        for parts in tables:
-            s = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            order = np.argsort(s, kind="stable")
-            bitmap = np.zeros(1 << self.BITS, bool)
-            bitmap[(s >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
-            self.tables.append((s[order], order, bitmap))
+    def __init__(self, fields: list[tuple[int, str]], words: Words):
+        self.item = np.array([i for i, _ in fields], np.int64)
+        codes = [words(t) for _, t in fields]
+        self.lengths = np.array([len(c) for c in codes], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
+        self.flat = np.concatenate([*codes, np.zeros(0, np.uint64)])
+        groups: dict[tuple[bool, int], list[int]] = {}
+        for k, n in enumerate(self.lengths.tolist()):
+            if n:
+                groups.setdefault((n <= SHORT, -(-n // 2) if n <= SHORT else window_of(n)), []).append(k)
+        self.walks: list[Walk] = []
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        for (plain, window), ids in sorted(groups.items()):
+            owner = np.concatenate([np.full(len(codes[k]), k) for k in ids])
+            place = np.concatenate([np.arange(len(codes[k])) for k in ids])
+            whole = place + window <= self.lengths[owner] if plain else np.ones(len(owner), bool)
+            for walk in [Walk(window, 0, True)] if plain else walks_for([codes[k] for k in ids], window):
+                s = np.concatenate([walk.samples(codes[k]) for k in ids])[whole]
+                order = np.argsort(s, kind="stable")
+                bitmap = np.zeros(1 << self.BITS, bool)
+                bitmap[(s >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
+                self.walks.append(walk)
+                self.tables.append((s[order], owner[whole][order], place[whole][order], np.packbits(bitmap)))
+        self.gap = max((w.steps for w in self.walks), default=0) + 1
+
+    def codes(self, field: int) -> np.ndarray:
+        return self.flat[self.starts[field] : self.starts[field + 1]]
 
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fields, diagonals (text position minus item position) and text positions of windows that meet in some table."""
         pairs, places = [], []
-        for s, (keys, order, bitmap) in zip(samples(codes, self.walks), self.tables, strict=True):
-            hit = np.flatnonzero(bitmap[(s >> np.uint64(64 - self.BITS)).astype(np.int64)])
+        for walk, (keys, owner, place, bitmap) in zip(self.walks, self.tables, strict=True):
+            s = walk.samples(codes)
+            cell = (s >> np.uint64(64 - self.BITS)).astype(np.int64)
+            hit = np.flatnonzero(bitmap[cell >> 3] & (0x80 >> (cell & 7)).astype(np.uint8))
             if not len(hit):
                 continue
             lo, hi = np.searchsorted(keys, s[hit], "left"), np.searchsorted(keys, s[hit], "right")
@@ -135,8 +175,8 @@ class ItemIndex:
             total = int(counts.sum())
             if total:
                 p = np.repeat(hit, counts)
-                e = order[np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(lo, counts)]
-                pairs.append(self.owner[e] << 40 | (p - self.place[e] + (1 << 39)))
+                e = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(lo, counts)
+                pairs.append(owner[e] << 40 | (p - place[e] + (1 << 39)))
                 places.append(p)
         if not pairs:
             return (np.zeros(0, np.int64),) * 3
@@ -144,16 +184,24 @@ class ItemIndex:
         return found >> 40, (found & ((1 << 40) - 1)) - (1 << 39), np.concatenate(places)[first]
 
     def agreeing(self, codes: np.ndarray, share: float):
-        """(field, diagonal, position) where at least `share` of the item's words stand on the diagonal."""
+        """(field, diagonal, position) where enough of the item's words stand on the diagonal: `share` of them, or of one window
+        half, as added and missing words move the rest to other diagonals."""
         fields, diagonals, places = self.candidates(codes)
-        width = self.padded.shape[1]
-        text = np.concatenate([np.full(width, GAP), codes, np.full(width, GAP)])
-        step = max(1, 2_000_000 // width)
-        for at in range(0, len(fields), step):
-            f, d, p = fields[at : at + step], diagonals[at : at + step], places[at : at + step]
-            same = (text[np.clip(d, -width, len(codes))[:, None] + width + np.arange(width)] == self.padded[f]).sum(axis=1)
-            ok = same >= np.maximum(share * self.lengths[f], 1)
-            yield from zip(f[ok].tolist(), d[ok].tolist(), p[ok].tolist(), strict=True)
+        sizes = self.lengths[fields]
+        enough = np.maximum(np.minimum(share * sizes, 0.5 * np.array([window_of(n) or n for n in sizes.tolist()])), 1)
+        at = 0
+        while at < len(fields):
+            to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 2_000_000, "right")))
+            f, d, n = fields[at:to], diagonals[at:to], sizes[at:to]
+            row = np.repeat(np.arange(len(f)), n)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            where = d[row] + step
+            inside = (where >= 0) & (where < len(codes))
+            same = np.zeros(len(row), bool)
+            same[inside] = codes[where[inside]] == self.flat[(self.starts[f][row] + step)[inside]]
+            ok = np.bincount(row, same, len(f)) >= enough[at:to]
+            yield from zip(f[ok].tolist(), d[ok].tolist(), places[at:to][ok].tolist(), strict=True)
+            at = to
 
 
 def held(item: list[int], text: list[int]) -> int:
@@ -185,63 +233,82 @@ def held(item: list[int], text: list[int]) -> int:
 
 def leaked(texts: list[np.ndarray], index: ItemIndex, share: float = SHARE) -> list[set[int]]:
     """For each text, given as word codes, the item ids that leak into it. Texts are read together, apart by gaps."""
-    gap = np.full(max(s for s, _ in index.walks) + 1, GAP)
+    gap = np.full(index.gap, GAP)
     starts = np.cumsum([0, *(len(t) + len(gap) for t in texts)])
     whole = np.concatenate([x for t in texts for x in (t, gap)]) if texts else np.zeros(0, np.uint64)
     found: list[set[int]] = [set() for _ in texts]
     for field, d, p in sorted(index.agreeing(whole, 0.4 * share)):
         k = int(np.searchsorted(starts, p, "right")) - 1
-        if index.item[field] in found[k]:
+        item_id = int(index.item[field])
+        if item_id in found[k]:
             continue
-        item, d = index.codes[field], d - int(starts[k])
+        item, d = index.codes(field), d - int(starts[k])
         slack = 2 + len(item) // 8
         window = texts[k][max(0, d - slack) : max(0, d + len(item) + slack)]
+        if np.isin(item, window).sum() < 0.4 * share * len(item):
+            continue
         if held(item.tolist(), window.tolist()) >= share * len(item):
-            found[k].add(index.item[field])
+            found[k].add(item_id)
     return found
 
 
-def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE, walks: list[tuple[int, int]] = WALKS) -> DataFrame:
+def indexes(items: DataFrame):
+    """Indexes of blocks of items, one after the other; the driver holds one block's texts at a time."""
+    words, block, size = Words(), [], 0
+    for r in items.select("item_id", "queries", "expected_answer").where("item_id IS NOT NULL").distinct().orderBy("item_id", "queries", "expected_answer").toLocalIterator():
+        for t in (r.queries, r.expected_answer):
+            if t:
+                block.append((r.item_id, t))
+                size += len(t.split())
+        if size >= BLOCK_WORDS:
+            yield ItemIndex(block, words)
+            block, size = [], 0
+    if block:
+        yield ItemIndex(block, words)
+
+
+def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id): documents that hold at least `share` of the words of one field of an item, together and in order.
 
     `documents` has doc_id, text; `items` has item_id, queries, expected_answer. Null and empty texts and fields match
-    nothing, repeated rows count once. Items are a stated query set: they go to all documents in blocks of ITEM_BLOCK.
+    nothing, repeated rows count once. Items are a stated query set: each block's index is built once and broadcast, its size
+    bounded by BLOCK_WORDS, and BLOCKS_TOGETHER blocks share one scan and one splitting into words of all documents.
     """
-    rows = items.select("item_id", "queries", "expected_answer").distinct().orderBy("item_id", "queries", "expected_answer").toLocalIterator()
-    out, block = None, []
-
-    def match(fields: list[tuple[int, str]]) -> DataFrame:
-        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64())])
+    context = documents.sparkSession.sparkContext
+    texts = documents.select("doc_id", "text").where("text <> ''")
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64())])
 
+    def match(blocks: list) -> DataFrame:
         def run(batches):
             words = Words()
-            index = ItemIndex(fields, words, walks)
+            together = TOGETHER * len(blocks)
 
             def pairs(some):
-                for (i, _), items in zip(some, leaked([c for _, c in some], index, share), strict=True):
-                    for item in items:
-                        yield i, item
+                for block in blocks:
+                    for (i, _), found in zip(some, leaked([c for _, c in some], block.value, share), strict=True):
+                        for item in found:
+                            yield i, item
 
-            def found():
+            def rows():
                 for b in batches:
-                    ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
                     some, size = [], 0
-                    for i, t in zip(ids, texts, strict=True):
+                    for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                         some.append((i, words(t)))
                         size += len(some[-1][1])
-                        if size > TOGETHER:
+                        if size > together:
                             yield from pairs(some)
                             some, size = [], 0
                     yield from pairs(some)
 
-            yield from in_batches(found(), schema)
+            yield from in_batches(rows(), schema)
 
-        return documents.select("doc_id", "text").where("text <> ''").mapInArrow(run, "doc_id long, item_id long")
+        return texts.mapInArrow(run, "doc_id long, item_id long")
 
-    for r in rows:
-        block += [(r.item_id, t) for t in (r.queries, r.expected_answer) if t]
-        if len(block) >= ITEM_BLOCK:
-            out, block = match(block) if out is None else out.unionAll(match(block)), []
-    if block or out is None:
-        out = match(block) if out is None else out.unionAll(match(block))
+    out, blocks = None, []
+    for index in indexes(items):
+        blocks.append(context.broadcast(index))
+        if len(blocks) == BLOCKS_TOGETHER:
+            out, blocks = match(blocks) if out is None else out.unionAll(match(blocks)), []
+    if blocks or out is None:
+        out = match(blocks) if out is None else out.unionAll(match(blocks))
     return out.distinct()

@@ -4,7 +4,8 @@ Sizes are whole numbers up to the capacity, so all planning works on their histo
 sizes are put into groups of equal cardinality and rounded up to their group's largest; column generation (simplex with
 a knapsack as pricing) finds the best mix of container configurations for these few sizes; actual documents take the
 slots of their group by rank; what is left, and all small documents, goes where it fits best. Ranks within one size are
-found without sorting it in one task: rows are numbered within hashed buckets and shifted by the buckets' counts.
+found without sorting it in one task: rows are numbered within as many hashed buckets as the histogram asks for, and shifted
+by the buckets' counts.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shapla.llm.common import in_batches, rows_of
-from shapla.session import materialize
+from shapla.session import broadcast_if, materialize
 
 # Fixed value: how the byte-level vocabularies part a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CAPACITY, GROUPS, SMALL, BUCKETS = 2048, 48, 0.1, 64
+CAPACITY, GROUPS, SMALL = 2048, 48, 0.1
+#: Rows of one value that are numbered in one task, about.
+BUCKET_ROWS = 100_000
 
 
 def tokenizer(path: str):
@@ -205,13 +208,21 @@ def best_fit(space: dict[int, int], left: dict[int, tuple[int, int]], capacity:
     return moves, opened
 
 
-def ranked(df: DataFrame, by: str, *order: str) -> DataFrame:
-    """`df` with rank: 0, 1, ... within each value of `by`, whose number of values is bounded."""
-    b = df.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int"))
-    counts = b.groupBy(by, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    shift = counts.select(by, "bucket", (F.sum("n").over(Window.partitionBy(by).orderBy("bucket")) - F.col("n")).alias("shift"))
+def ranked(df: DataFrame, by: str, histogram: dict[int, int], *order: str) -> DataFrame:
+    """`df` with rank: 0, 1, ... within each value of `by`, whose number of values is bounded.
+
+    Values are numbered in hashed buckets of about BUCKET_ROWS rows, as many as the value's count in `histogram` needs.
+    """
+    many = {v: -(-n // BUCKET_ROWS) for v, n in histogram.items() if n > BUCKET_ROWS}
+    buckets = F.coalesce(F.create_map(*[F.lit(x) for kv in sorted(many.items()) for x in kv])[F.col(by)], F.lit(1)) if many else F.lit(1)
+    b = df.withColumn("bucket", F.pmod(F.xxhash64(*order), buckets.cast("long")))
     w = Window.partitionBy(by, "bucket").orderBy(*order)
-    return b.withColumn("r", F.row_number().over(w)).join(F.broadcast(shift), [by, "bucket"]).withColumn("rank", F.col("shift") + F.col("r") - 1).drop("bucket", "r", "shift")
+    b = b.withColumn("r", F.row_number().over(w).cast("long"))
+    if not many:
+        return b.withColumn("rank", F.col("r") - 1).drop("bucket", "r")
+    counts = b.where(F.col(by).isin(sorted(many))).groupBy(by, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    shift = materialize(counts.select(by, "bucket", (F.sum("n").over(Window.partitionBy(by).orderBy("bucket")) - F.col("n")).alias("shift")))
+    return b.join(broadcast_if(shift, sum(many.values()), 40), [by, "bucket"], "left").withColumn("rank", F.coalesce("shift", F.lit(0)) + F.col("r") - 1).drop("bucket", "r", "shift")
 
 
 def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
@@ -226,7 +237,7 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
     plan = Plan(histogram, capacity)
     own = F.concat_ws("-", F.lit("own"), "doc_id", "piece")
     full = all_items.where(F.col("tokens") == capacity).withColumn("container", own)
-    rest = ranked(all_items.where(F.col("tokens") < capacity), "tokens", "doc_id", "piece")
+    rest = ranked(all_items.where(F.col("tokens") < capacity), "tokens", histogram, "doc_id", "piece")
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start_token", pa.int32()), ("tokens", pa.int32()), ("rank", pa.int64()), ("slot", pa.int64())])
 
     def slots(batches):
@@ -239,9 +250,9 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
 
     rest = materialize(rest.mapInArrow(slots, "doc_id long, piece int, start_token int, tokens int, rank long, slot long"))
     slotted = rest.where("slot IS NOT NULL")
-    free = slotted.groupBy("slot").agg((F.lit(capacity) - F.sum("tokens")).cast("int").alias("space"))
-    free = materialize(ranked(free, "space", "slot"))
-    space = {r.space: r.n for r in free.groupBy("space").agg(F.count(F.lit(1)).alias("n")).collect()}
+    free = materialize(slotted.groupBy("slot").agg((F.lit(capacity) - F.sum("tokens")).cast("int").alias("space")))
+    space = {r.space: r.n for r in free.groupBy("space").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
+    free = ranked(free, "space", space, "slot")
     moves, _ = best_fit(space, plan.left(histogram), capacity)
 
     def fits(batches):

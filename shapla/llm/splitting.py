@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shapla.llm.common import in_batches, rows_of
+from shapla.llm.common import distinct_pages, in_batches, rows_of
 
 LIMIT, OVERLAP = 2000, 300
 #: A piece that isn't the last one is at least this share of the limit long.
@@ -69,23 +69,48 @@ def strengths(text: str) -> np.ndarray:
 MARKS = [0x01, 0x02, 0x03, *range(0x3C, 0x3D), *range(0x3E, 0x4E), *range(0x55, 0x58), 0x62, 0x63]
 
 
+#: Code points of a text for which tables are kept at a time, beside the limit; a text of any length takes no more memory.
+STRETCH = 1 << 16
+
+
+class Boundaries:
+    """Range maxima of the boundary strengths around the place that is being cut, built a stretch at a time."""
+
+    def __init__(self, text: str, limit: int):
+        self.text, self.limit, self.at, self.to = text, limit, 0, -1
+
+    def strongest(self, a: int, b: int) -> tuple[int, int]:
+        """(position, strength) of the strongest cut in [a, b), the rightmost of equals."""
+        if not (self.at <= a and b <= self.to):
+            self.at, self.to = a, min(len(self.text) + 1, b + max(STRETCH, self.limit))
+            lo = max(0, a - 8)  # what stands around the edges decides on their strength
+            s = strengths(self.text[lo : self.to + 8])[a - lo : self.to - lo]
+            self.table = RangeMax((s + 1) * (len(s) + 1) + np.arange(len(s)), self.limit)
+            self.base = len(s) + 1
+        v = self.table.query(a - self.at, b - self.at)
+        return self.at + v % self.base, v // self.base - 1
+
+
 def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
-    """(start, end) of the pieces, in order; one piece where the text is within the limit, none for an empty one."""
+    """(start, end) of the pieces, in order; one piece where the text is within the limit, none for an empty one.
+
+    A piece starts at the strongest boundary of the overlap's first two thirds, else where a character starts.
+    """
     n = len(text)
     if n <= limit:
         return [(0, n)] if n else []
     overlap = max(0, min(overlap, int(limit * LEAST) - 1))
     least = max(1, int(limit * LEAST), overlap + 1)
-    s = strengths(text)
-    table = RangeMax((s + 1) * (n + 1) + np.arange(n + 1), limit)
+    found = Boundaries(text, limit)
     out, start = [], 0
     while n - start > limit:
-        end = table.query(start + least, start + limit + 1) % (n + 1)
+        end, _ = found.strongest(start + least, start + limit + 1)
         out.append((start, end))
         start = end
         if overlap:
-            v = table.query(end - overlap, max(end - overlap + 1, end - overlap // 3))
-            start = v % (n + 1) if v >= 2 * (n + 1) else end - overlap
+            start, strength = found.strongest(end - overlap, max(end - overlap + 1, end - overlap // 3))
+            if strength < 1:
+                start, strength = found.strongest(end - overlap, min(end, end - overlap + 16))
     out.append((start, n))
     return out
 
@@ -95,18 +120,18 @@ def pieces(items: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> Data
 
     `items` has tbl, item_key, text. Pieces are at most `limit` long, numbered from 1, and neighbours overlap by at most
     `overlap`; without overlaps they give the text again. A text without any natural place is cut at the limit. Null
-    texts and keys and texts within the limit give no rows; repeated rows count once.
+    texts and keys and texts within the limit give no rows; repeated rows count once, and only they are shuffled.
     """
     schema = pa.schema([("tbl", pa.string()), ("item_key", pa.string()), ("piece_no", pa.int32()), ("start_pos", pa.int32()), ("end_pos", pa.int32()), ("piece", pa.string())])
 
     def run(batches):
         def rows():
             for b in batches:
-                for tbl, key, text in rows_of(b, "tbl", "item_key", "text"):
+                for tbl, key, text in rows_of(b, "tbl", "url", "text"):
                     for no, (a, e) in enumerate(cuts(text, limit, overlap), 1):
                         yield tbl, key, no, a, e, text[a:e]
 
         yield from in_batches(rows(), schema, 1024)
 
-    long = items.select("tbl", "item_key", "text").where(F.col("item_key").isNotNull() & (F.length("text") > limit)).distinct()
-    return long.mapInArrow(run, "tbl string, item_key string, piece_no int, start_pos int, end_pos int, piece string")
+    long = items.select("tbl", F.col("item_key").alias("url"), "text").where(F.col("url").isNotNull() & (F.length("text") > limit))
+    return distinct_pages(long).mapInArrow(run, "tbl string, item_key string, piece_no int, start_pos int, end_pos int, piece string")

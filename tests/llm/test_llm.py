@@ -244,13 +244,36 @@ def test_packing_plan():
     assert len(load) + opened <= 1.1 * sum(sizes) / 256 + 2
 
 
-def test_leaks():
+def test_leaks(spark):
     words = leakage.Words()
     item = "which papers are needed when the river meter of the old loom store has been lent to a poet"
-    index = leakage.ItemIndex([(5, item), (6, None or "x")], words)
+    index = leakage.ItemIndex([(5, item), (6, "x"), (7, "solar power plant"), (8, "two words")], words)
     hit = "So it goes: WHICH papers, are *needed* when the river metre of the old loom store! And then on."
     miss = "which papers are needed when nobody asks for them in the end"
-    assert leakage.leaked([words(hit), words(miss), words("")], index) == [{5}, set(), set()]
+    assert leakage.leaked([words(hit), words(miss), words(""), words("A solar, power plant."), words("some two"), words("power then solar")], index) == [{5}, set(), set(), {7}, {8}, set()]
+    docs = spark.createDataFrame([(1, hit), (2, miss), (3, None), (4, "solar power plant"), (1, hit)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, item, None), (7, None, "solar power plant"), (9, "", None)], "item_id long, queries string, expected_answer string")
+    want = {(1, 5), (4, 7)}
+    for words_a_block, together in ((leakage.BLOCK_WORDS, leakage.BLOCKS_TOGETHER), (1, 1), (1, 2)):
+        old = leakage.BLOCK_WORDS, leakage.BLOCKS_TOGETHER
+        leakage.BLOCK_WORDS, leakage.BLOCKS_TOGETHER = words_a_block, together
+        try:
+            assert {(r.doc_id, r.item_id) for r in leakage.leaks(docs, items).collect()} == want and leakage.leaks(docs, items).count() == 2
+        finally:
+            leakage.BLOCK_WORDS, leakage.BLOCKS_TOGETHER = old
+    assert leakage.leaks(docs, items.limit(0)).count() == leakage.leaks(docs.limit(0), items).count() == 0
+
+
+def test_leaks_reach_the_recall_on_planted_edits():
+    rng = np.random.default_rng(9)
+    words = leakage.Words()
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 800, int(rng.integers(4, 90)))) for _ in range(150)]
+    index = leakage.ItemIndex(list(enumerate(items)), words)
+    noise = lambda n: words(" ".join(f"n{x}" for x in rng.integers(0, 5000, n)))
+    planted = [(k, np.concatenate([noise(40), leakage.edited(words(items[k]), rng), noise(40)])) for k in rng.integers(0, len(items), 1200).tolist()]
+    true = [(k, t) for k, t in planted if leakage.held(words(items[k]).tolist(), t.tolist()) >= 0.5 * len(items[k].split())]
+    got = leakage.leaked([t for _, t in true], index)
+    assert len(true) > 500 and sum(k in g for (k, _), g in zip(true, got, strict=True)) >= 0.99 * len(true)
 
 
 def test_sentences():
