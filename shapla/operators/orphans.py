@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shapla.functions.urls import key_host, page_key
+from shapla.session import materialize
 
 SALTS = 16
 #: A key is hot from this many references on, or from a 10,000th of all of them, whichever is more: at most 10,000 keys.
@@ -60,7 +61,7 @@ def orphan_references(links: DataFrame, pages: DataFrame, suffix: str = ".gov.bd
     with their times go through the anti-join and are joined back to the references. Rows of hot keys are salted
     and their few spans copied, so that no task gets all references to one page.
     """
-    refs = references(links, suffix)
+    refs = materialize(references(links, suffix))
     probes = refs.select("key", "created_at").distinct()
     spans = presence(pages)
     counts = probes.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
