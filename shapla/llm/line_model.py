@@ -45,7 +45,7 @@ def line_features(line: str, host: str, before_blank: bool, after_blank: bool, r
         feats.append("\tcopyright")
     if DIGITS.search(s):
         feats.append("\tdigits%d" % (size > 2))
-        if NAME.search(s):
+        if NAME.search(" ".join(s.split())):
             feats.append("\tbyline%d" % min(ends, 1))
     return feats + words
 

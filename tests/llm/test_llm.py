@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("shapla.llm")
 
@@ -201,6 +202,22 @@ def test_language_codes_and_network():
     assert {s[2] for s in segments} == {"en", "hi"}
 
 
+def test_segments_hold_every_letter(spark):
+    samples = [("en", "the officer said that we must go to the office now and then") for _ in range(3)] + [("hi", "ज़िला कार्यालय में सूचना दी जाती है और फिर से") for _ in range(3)]
+    net = language.train(samples, steps=40)
+    texts = ["hi", "go now. सूचना दी।", "सूचना\n\ngo to the office. now", "...", "", None, "the office is open to all of us and them today and then again. " * 40]
+    df = pages(spark, [(f"u{i}", None, t) for i, t in enumerate(texts)])
+    got = {r.url: r.segments for r in language.labelled(df, net, least_text=0, least=0).collect()}
+    for i, t in enumerate(texts):
+        inside = "".join(t[x.start : x.end] for x in got.get(f"u{i}", ())) if t else ""
+        assert [c for c in inside if c.isalpha()] == [c for c in t or "" if c.isalpha()]
+        assert all(a.end <= b.start and a.lang != b.lang for a, b in zip(got.get(f"u{i}", ()), got.get(f"u{i}", ())[1:], strict=False))
+    assert set(got) == {"u0", "u1", "u2", "u6"}
+    codes = ["bn-BD", "বাংলা", " bn_Latn", "ENG", "en-Latn", "und", "", "  ", "-", "latn", None]
+    cols = spark.createDataFrame([(x,) for x in codes], "x string").select(language.code_column(F.col("x")).alias("c")).collect()
+    assert [r.c for r in cols] == [language.code_of(x) for x in codes]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2000, 2001, 9000])
 def test_cuts_cover_the_text(n):
     rng = np.random.default_rng(n)
@@ -210,6 +227,16 @@ def test_cuts_cover_the_text(n):
     assert all(0 <= e - a2 <= 300 and a2 > a for (a, e), (a2, _) in zip(c, c[1:], strict=False))
     assert not n or (c[0][0] == 0 and c[-1][1] == n)
     assert len(splitting.cuts("x" * 5000)) == 3
+    old, splitting.STRETCH = splitting.STRETCH, 10  # tables by stretches give the same cuts
+    try:
+        assert splitting.cuts(text) == c
+    finally:
+        splitting.STRETCH = old
+
+
+def test_pieces_never_start_within_a_character():
+    text = "কি" * 3000
+    assert all(text[a] == "ক" for a, _ in splitting.cuts(text))
 
 
 def test_range_max():
@@ -244,6 +271,19 @@ def test_packing_plan():
     assert len(load) + opened <= 1.1 * sum(sizes) / 256 + 2
 
 
+def test_ranks_by_buckets(spark):
+    df = spark.range(1000).selectExpr("id", "CAST(id % 3 AS INT) AS v")
+    histogram = {0: 334, 1: 333, 2: 333}
+    for rows in (100_000, 40):
+        old, packing.BUCKET_ROWS = packing.BUCKET_ROWS, rows
+        try:
+            got = packing.ranked(df, "v", histogram, "id").collect()
+        finally:
+            packing.BUCKET_ROWS = old
+        for v, n in histogram.items():
+            assert sorted(r.rank for r in got if r.v == v) == list(range(n))
+
+
 def test_leaks(spark):
     words = leakage.Words()
     item = "which papers are needed when the river meter of the old loom store has been lent to a poet"
