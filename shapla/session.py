@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir); a private one only where it is unset and Spark runs on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "shapla-shared")
     return base.rstrip("/")
