@@ -29,6 +29,8 @@ BLOCK_WORDS, BLOCKS_TOGETHER = 300_000, 16
 SHARE = 0.5
 #: Texts are read together up to about so many words.
 TOGETHER = 20_000
+#: An alignment of a span has at least this share of its words in common, as a match outweighs 1 / 0.6 changes (see `held`).
+LEAST_MATCHES = 0.375
 GAP = np.uint64(1)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,11 +158,27 @@ class ItemIndex:
                 bitmap[(s >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
                 self.walks.append(walk)
                 self.tables.append((s[order], owner[whole][order], place[whole][order], np.packbits(bitmap)))
+        self.places: dict[int, dict[int, int]] = {}
         self.gap = max((w.steps for w in self.walks), default=0) + 1
 
     def codes(self, field: int) -> np.ndarray:
         return self.flat[self.starts[field] : self.starts[field + 1]]
 
+    def in_order(self, field: int, window: np.ndarray) -> int:
+        """How many of an item's words stand in a window in order: the longest common subsequence, all rows of it in one number."""
+        places = self.places.get(field)
+        if places is None:
+            places = self.places[field] = {}
+            for i, w in enumerate(self.codes(field).tolist()):
+                places[w] = places.get(w, 0) | 1 << i
+        whole = free = (1 << int(self.lengths[field])) - 1
+        for w in window.tolist():
+            at = places.get(w)
+            if at:
+                met = free & at
+                free = (free + met | free - met) & whole
+        return int(self.lengths[field]) - free.bit_count()
+
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fields, diagonals (text position minus item position) and text positions of windows that meet in some table."""
         pairs, places = [], []
@@ -245,7 +263,7 @@ def leaked(texts: list[np.ndarray], index: ItemIndex, share: float = SHARE) -> l
         item, d = index.codes(field), d - int(starts[k])
         slack = 2 + len(item) // 8
         window = texts[k][max(0, d - slack) : max(0, d + len(item) + slack)]
-        if np.isin(item, window).sum() < 0.4 * share * len(item):
+        if index.in_order(field, window) < LEAST_MATCHES * share * len(item):
             continue
         if held(item.tolist(), window.tolist()) >= share * len(item):
             found[k].add(item_id)
