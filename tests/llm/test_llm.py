@@ -344,3 +344,27 @@ def test_residue_beside_long_furniture():
 def test_own_title_is_found_on_any_line():
     lines = ["A Notice of Weavers", *[f"plain words {chr(97 + i % 26)}" for i in range(60)], "share: A Notice of Weavers"]
     assert common.titles_of(None, lines) == ["A Notice of Weavers"]
+
+
+def test_residue_beyond_what_a_task_holds(spark):
+    usual = [f"The office of place number {i} lends its river meter to all farmers who ask for it in time and pay the fee of the year at the bank." for i in range(60)]
+    errors = [f"404 not found. Request {i} failed." for i in range(8)] + ["Lorem ipsum dolor amet."] * 2 + [f"Quota {i} of page views spent." for i in range(4)]
+    slots = [f"{usual[i]} Ask {m % w} there." for i, (m, w) in enumerate((m, w) for m in ("{{ %s }}", "%%%% %s %%%%", "[insert %s here]", "__%s__") for w in ("name", "date", "place", "name", "date"))]
+    slots += [f"{usual[0]} [{w}]" for w in ("no", "yes", "perhaps", "so")] * 2
+    rows = [(f"http://h{i % 7}.example/{i}", None, t) for i, t in enumerate([*usual, *errors, *slots])]
+    df, lines = pages(spark, rows), line_model.LineModel({}, -1.0)
+    fitted = residue.fit(df, lines)
+    want = {r.url for r in residue.residue_fields(df, fitted, lines).collect()}
+    assert len(want) >= 30 and fitted.templates and not fitted.beyond
+    ordinary = {u for u, _, _ in rows} - want
+    old = residue.MOST_WORDS, residue.MOST_PIECES, residue.MOST_TEMPLATES, residue.BROADCAST_BYTES
+    try:
+        for bounds in ((3, 1, 0, old[3]), (3, 1, 0, 0), (old[0], 18, *old[2:])):
+            residue.MOST_WORDS, residue.MOST_PIECES, residue.MOST_TEMPLATES, residue.BROADCAST_BYTES = bounds
+            model = residue.fit(df, lines)
+            assert bool(model.beyond) == (bounds[1] != 18) and len(model.words) <= bounds[0] and len(model.templates) <= bounds[2]
+            assert {r.url for r in residue.residue_fields(df, model, lines).collect()} == want
+            left, test = residue.kept(df, model, lines)
+            assert {r.url for r in left.collect() if test(r.tbl, r.url, r.field, r.text)} == ordinary
+    finally:
+        residue.MOST_WORDS, residue.MOST_PIECES, residue.MOST_TEMPLATES, residue.BROADCAST_BYTES = old
