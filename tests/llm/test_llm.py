@@ -368,3 +368,12 @@ def test_residue_beyond_what_a_task_holds(spark):
             assert {r.url for r in left.collect() if test(r.tbl, r.url, r.field, r.text)} == ordinary
     finally:
         residue.MOST_WORDS, residue.MOST_PIECES, residue.MOST_TEMPLATES, residue.BROADCAST_BYTES = old
+
+
+def test_all_language_samples_train_the_network(spark, tmp_path):
+    from shapla.llm import queries
+
+    rows = [(i, "en", "the officer said that we must go to the office") for i in range(2100)] + [(9999, "hi", "ज़िला कार्यालय में सूचना दी जाती है")]
+    spark.createDataFrame(rows, "sample_id long, lang string, text string").write.parquet(str(tmp_path / "lang_samples.parquet"))
+    assert queries.language_network(spark, str(tmp_path)).langs == ["en", "hi"]
+    assert language.steps_for(64_333) == language.STEPS and language.steps_for(10_000_000) * language.DRAWN * language.WINDOW >= 10_000_000
