@@ -370,6 +370,15 @@ def test_residue_beyond_what_a_task_holds(spark):
         residue.MOST_WORDS, residue.MOST_PIECES, residue.MOST_TEMPLATES, residue.BROADCAST_BYTES = old
 
 
+def test_cut_pages_reads_texts_to_their_end(spark):
+    model = line_model.LineModel({"related": 6.0, "menu": 6.0}, -0.5)
+    entry = "\n\n".join(f"Entry text number {i} stands here. It goes on for long." for i in range(3000))
+    df = pages(spark, [("http://h.example/1", None, f"# T\n\n{entry}\n\nrelated menu")])
+    fitted = residue.ResidueModel(set(), set(), {"entry": -1.0}, set())
+    assert [r.line_no for r in main_content.furniture_lines(df, model, fitted).collect()] == [6003]
+    assert main_content.entries(df, model, fitted).first().text == f"# T\n\n{entry}\n"
+
+
 def test_all_language_samples_train_the_network(spark, tmp_path):
     from shapla.llm import queries
 
