@@ -386,3 +386,19 @@ def test_all_language_samples_train_the_network(spark, tmp_path):
     spark.createDataFrame(rows, "sample_id long, lang string, text string").write.parquet(str(tmp_path / "lang_samples.parquet"))
     assert queries.language_network(spark, str(tmp_path)).langs == ["en", "hi"]
     assert language.steps_for(64_333) == language.STEPS and language.steps_for(10_000_000) * language.DRAWN * language.WINDOW >= 10_000_000
+
+
+def test_what_steps_share_of_a_page_is_made_once(monkeypatch):
+    made = []
+    features = line_model.line_features
+    monkeypatch.setattr(line_model, "line_features", lambda line, *rest: made.append(line) or features(line, *rest))
+    text = "# Title\n\nmenu one\u200b two\n\nPublished\u00a0by Rahim Uddin, 3 মে 2021\n\nSooooo 𝟎x long! An entry. Ἕξω ΣΣΣΣ"
+    model = line_model.LineModel({"entry": -2.0}, -0.5)
+    assert main_content.furniture(text, "http://h.example/", None, {3}, model) == [3]
+    assert made == text.split("\n")[4::2]  # neither the title nor what is repeated needs a score
+    page = common.Page("http://h.example/", text)
+    assert [page.plain(i) for i in range(1, 8)] == [common.plain(x) for x in page.lines]
+    assert [ws for *_, ws in residue.worded(page)] == [residue.tokens(x) for x in page.lines[::2]]
+    assert common.line_key(page.lines[4], []) == common.line_key("Published by Ab Cd, 4 May 2020", []) == "Published by,"
+    lower = common.Page(None, "One of THEM\n[a](http://b.example/C) Two\nΑΣ")
+    assert lower.small() and [ws for *_, ws in residue.worded(lower)] == [residue.tokens(x) for x in lower.lines] == [["one", "of", "them"], ["a", "two"], ["ας"]]
