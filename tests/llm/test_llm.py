@@ -402,3 +402,17 @@ def test_what_steps_share_of_a_page_is_made_once(monkeypatch):
     assert common.line_key(page.lines[4], []) == common.line_key("Published by Ab Cd, 4 May 2020", []) == "Published by,"
     lower = common.Page(None, "One of THEM\n[a](http://b.example/C) Two\nΑΣ")
     assert lower.small() and [ws for *_, ws in residue.worded(lower)] == [residue.tokens(x) for x in lower.lines] == [["one", "of", "them"], ["a", "two"], ["ας"]]
+
+
+def test_positions_are_those_of_the_trained_network():
+    net = language.train([("en", "the officer said that we must go"), ("hi", "ज़िला कार्यालय में सूचना दी जाती है")], steps=5)
+    net.p["fe"][:, 0x61] *= 2000  # inputs beyond the range of exp
+    ids = np.random.default_rng(3).integers(0, 65536, (language.WINDOW, 7)).astype(np.int32)
+    ids[3:9] = ord("a")
+    with np.errstate(over="raise", invalid="raise"):
+        states = np.concatenate([net.run(ids, d)[0] for d in "fb"], axis=2)
+        got = net.positions(ids)
+    odds = np.exp(states @ net.p["o"] + net.p["ob"])
+    assert np.abs(got - odds / odds.sum(axis=2, keepdims=True)).max() < 1e-5
+    sizes = {a.shape for d in "fb" for pair in net.gates(d) for a in pair}
+    assert sizes == {(65536, language.HIDDEN), (language.HIDDEN, language.HIDDEN)} and all(a.flags.c_contiguous for d in "fb" for pair in net.gates(d) for a in pair)
